@@ -1,0 +1,26 @@
+"""Measured sizes that decide whether a side may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Exact row count and text bytes of a frame: one aggregate, one row back."""
+    texts = [F.octet_length(c) for c, kind in df.dtypes if kind == "string"]
+    width = F.lit(8 * len(df.columns))
+    for text in texts:
+        width = width + F.coalesce(text, F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows, size or 0
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    rows, size = measured_size(df)
+    return rows <= max_rows and size <= max_bytes
