@@ -1 +1,113 @@
-"""Placeholder."""
+"""Sources and sinks: tables written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eodledger.catalog.inputs import CONFIG_A, Derived
+from eodledger.catalog.registry import registered
+from eodledger.catalog.report_checks import check
+from eodledger.plans.report.final import equity_report, output_columns
+from eodledger.session import scratch_path
+from eodledger.sources import null_marker
+from eodledger.sources.corpus import scan_corpus
+from eodledger.sources.tables import (
+    append_path,
+    as_strings,
+    full_refresh_path,
+    load_csv_strings,
+    load_csv_typed,
+)
+
+
+@registered(
+    "csv_all_string",
+    """SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, p_type, p_size::VARCHAR AS p_size,
+          p_retailprice::VARCHAR AS p_retailprice FROM part""",
+)
+def csv_all_string(t):
+    path = scratch_path(t.spark, "part.csv")
+    null_marker.write_csv(t.part, path)
+    return load_csv_strings(t.spark, path)
+
+
+@registered(
+    "csv_typed",
+    """SELECT l_orderkey AS trading_server_transaction_no, l_suppkey AS trading_server_login,
+          CASE WHEN l_returnflag = 'N' THEN '' ELSE 'flag, "' || l_returnflag || '"' END AS comment,
+          CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS fund_amount FROM lineitem""",
+)
+def csv_typed(t):
+    path = scratch_path(t.spark, "adjustments.csv")
+    flag = F.concat(F.lit('flag, "'), F.col("l_returnflag"), F.lit('"'))
+    rows = t.lineitem.select(
+        F.col("l_orderkey").alias("no"),
+        F.col("l_suppkey").alias("login"),
+        F.when(F.col("l_returnflag") == "N", "").otherwise(flag).alias("text"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice")).cast("decimal(18,2)").alias("amount"),
+    )
+    null_marker.write_csv(rows, path)
+    typed = load_csv_typed(t.spark, path)
+    return typed.withColumn("fund_amount", F.col("fund_amount").cast("double"))
+
+
+@registered(
+    "null_marker_roundtrip",
+    """SELECT c_custkey::VARCHAR AS c_custkey,
+          CASE WHEN c_nationkey = 1 THEN NULL WHEN c_nationkey = 2 THEN '' ELSE c_mktsegment END AS segment
+        FROM customer""",
+)
+def null_marker_roundtrip(t):
+    path = scratch_path(t.spark, "customer.csv")
+    segment = (
+        F.when(F.col("c_nationkey") == 1, None)
+        .when(F.col("c_nationkey") == 2, "")
+        .otherwise(F.col("c_mktsegment"))
+    )
+    null_marker.write_csv(t.customer.select("c_custkey", segment.alias("segment")), path)
+    return null_marker.read_csv(t.spark, path)
+
+
+@registered("overwrite_roundtrip", "SELECT * FROM supplier")
+def overwrite_roundtrip(t):
+    path = scratch_path(t.spark, "supplier")
+    full_refresh_path(t.supplier.select("s_suppkey"), path)
+    full_refresh_path(t.supplier, path)
+    return t.spark.read.parquet(path)
+
+
+@registered(
+    "all_string_cast",
+    """SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey,
+          c_acctbal::VARCHAR AS c_acctbal, c_mktsegment FROM customer""",
+)
+def all_string_cast(t):
+    return as_strings(t.customer)
+
+
+@registered(
+    "corpus_scan",
+    "SELECT page_id, length(html) + 1 AS characters, md5(html || chr(10)) AS digest FROM pages",
+)
+def corpus_scan(t):
+    """Pages become a tree of one file each, which is then scanned as a corpus."""
+    root = scratch_path(t.spark, "corpus")
+    t.pages.select("html", "page_id").write.partitionBy("page_id").text(root)
+    return scan_corpus(t.spark, root).select(
+        F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
+        F.length("text").alias("characters"),
+        F.md5(F.col("text").cast("binary")).alias("digest"),
+    )
+
+
+@registered(
+    "report_append",
+    check(CONFIG_A, "(SELECT login, trading_server, currency, equity_change, lifetime_equity_change_usd FROM report_usd)"),
+)
+def report_append(t):
+    """The report appended as a day's partition, and that day read back."""
+    path = scratch_path(t.spark, "report")
+    report = equity_report(Derived(t), CONFIG_A)
+    append_path(report, path, output_columns(CONFIG_A), ["year", "month", "day"])
+    day = t.spark.read.parquet(path).where("year = 2024 and month = 1 and day = 16")
+    return day.select("login", "trading_server", "currency", "equity_change", "lifetime_equity_change_usd")

@@ -105,16 +105,13 @@ def _pattern_token(pattern: Column) -> Column:
 def _text_tokens(text: Column) -> Column:
     """All tokens of a text: its 1..GRAM character pieces and its length tests."""
     size = F.length(text)
-    pieces = [
-        F.when(
-            size >= n,
-            F.transform(
-                F.sequence(F.lit(1), size - (n - 1)),
-                lambda i, n=n: F.concat(F.lit("g:"), F.substring(text, i, F.lit(n))),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(1, GRAM + 1)
-    ]
+
+    def pieces_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), size - (n - 1))
+        cut = F.transform(starts, lambda i: F.concat(F.lit("g:"), F.substring(text, i, F.lit(n))))
+        return F.when(size >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    pieces = [pieces_of(n) for n in range(1, GRAM + 1)]
     at_least = F.transform(F.sequence(F.lit(0), size), lambda n: F.concat(F.lit(">="), n.cast("string")))
     exactly = F.array(F.concat(F.lit("=="), size.cast("string")))
     return F.array_distinct(F.concat(*pieces, at_least, exactly))
