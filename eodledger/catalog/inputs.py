@@ -3,7 +3,7 @@
 The report reads brokerage tables that are not among the given ones. Each is derived
 here by SQL that Spark and the checking engine both accept: customers become users,
 accounts and snapshots, line items become trades, orders become transactions and events
-become prices. ``[ts]`` and ``[str]`` stand for the engine's names of two types. Amounts
+become prices. Spark stores the result in the shared folder. ``[ts]`` and ``[str]`` stand for the engine's names of two types. Amounts
 are quarters, so sums do not depend on their order.
 """
 
@@ -12,8 +12,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eodledger.config import VARIANT_A, VARIANT_B, ReportConfig
+from eodledger.session import scratch_path
+from eodledger.sources.tables import DAY_SPLIT
 
 REPORT = dict(
     report_time=datetime(2024, 1, 16),
@@ -320,28 +324,62 @@ DERIVED: dict[str, str] = {
 }
 
 
+GIVEN = ("region", "customer", "part", "orders", "lineitem", "events")
+BY_DAY = (
+    "report_server_users_history",
+    "report_server_trades_open",
+    "report_server_trades_closed",
+    "report_server_trades_open_history",
+    "report_server_trades_transactions",
+)
+_STORED: dict[tuple, tuple[str, StructType]] = {}
+
+
+def _version(tables) -> tuple:
+    """What identifies the given tables: a listing of their files, contents unread."""
+    paths = [f"{tables.folder}/{name}.parquet" for name in GIVEN]
+    files = tables.spark.read.format("binaryFile").load(paths)
+    listing = files.agg(F.max("modificationTime").cast("string"), F.sum("length"), F.count("path"))
+    return (tables.spark.sparkContext.applicationId, tables.folder, *listing.first())
+
+
 class Derived(dict):
-    """Derived inputs as lazy frames, built on first use."""
+    """Derived inputs, each written once per session as the table the report would read.
+
+    Tables with a day split are partitioned by it; there are only four such days.
+    """
 
     def __init__(self, tables):
         super().__init__()
         self._tables = tables
+        self._key = _version(tables)
 
-    def __missing__(self, name: str) -> DataFrame:
+    def _compute(self, name: str) -> DataFrame:
         text = DERIVED[name].replace("[ts]", "TIMESTAMP_NTZ").replace("[str]", "STRING")
         sources = {
             source: self[source] if source in DERIVED else self._tables[source]
-            for source in (*DERIVED, "region", "customer", "part", "orders", "lineitem", "events")
+            for source in (*DERIVED, *GIVEN)
             if "{" + source + "}" in text
         }
-        self[name] = self._tables.spark.sql(text, **sources)
+        return self._tables.spark.sql(text, **sources)
+
+    def __missing__(self, name: str) -> DataFrame:
+        spark = self._tables.spark
+        stored = (*self._key, name)
+        if stored not in _STORED:
+            path = scratch_path(spark, name)
+            rows = self._compute(name)
+            writer = rows.write.partitionBy(*DAY_SPLIT) if name in BY_DAY else rows.write
+            writer.parquet(path)
+            _STORED[stored] = path, rows.schema
+        path, schema = _STORED[stored]
+        self[name] = spark.read.schema(schema).parquet(path)
         return self[name]
 
 
 def derived_ctes() -> str:
     """The same inputs as leading common table expressions of a checking query."""
-    names = (*DERIVED, "region", "customer", "part", "orders", "lineitem", "events")
-    same = {name: name for name in names}
+    same = {name: name for name in (*DERIVED, *GIVEN)}
     parts = [
         f"{name} AS ({text.replace('[ts]', 'TIMESTAMP').replace('[str]', 'VARCHAR').format_map(same)})"
         for name, text in DERIVED.items()

@@ -3,11 +3,13 @@ depends on the session time zone."""
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+HALF_HOUR = timedelta(minutes=30)
+
 
 def ntz(moment: datetime) -> Column:
     """A TIMESTAMP_NTZ literal; folded at planning time, so it reaches the scan."""
@@ -30,6 +32,16 @@ def half_hour_floor_of(moment: datetime) -> datetime:
     return moment.replace(minute=30 if moment.minute >= 30 else 0, second=0, microsecond=0)
 
 
+def bucket_at_most(ts: Column, cutoff: datetime) -> Column:
+    """Half-hour bucket of ts not after the cutoff, as a plain comparison of ts."""
+    return ts < ntz(half_hour_floor_of(cutoff) + HALF_HOUR)
+
+
+def bucket_is(ts: Column, bucket: datetime) -> Column:
+    """Half-hour bucket of ts equal to the given one, as a range of ts."""
+    return (ts >= ntz(bucket)) & (ts < ntz(bucket + HALF_HOUR))
+
+
 def second_floor(ts: Column) -> Column:
     whole = F.extract(F.lit("SECOND"), ts)
     return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), whole - F.floor(whole))

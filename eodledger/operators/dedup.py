@@ -16,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eodledger.functions.times import half_hour_floor, ntz
+from eodledger.functions.times import bucket_at_most, ntz
 
 RANK = "__rank"
 
@@ -70,7 +70,7 @@ def as_of_snapshot(
     bucketed: the half-hour bucket of the time is at most the cutoff; otherwise the
     time itself is strictly before it.
     """
-    known = half_hour_floor(F.col(at)) <= ntz(cutoff) if bucketed else F.col(at) < ntz(cutoff)
+    known = bucket_at_most(F.col(at), cutoff) if bucketed else F.col(at) < ntz(cutoff)
     return latest_per_key(df.where(known), keys, at, ties)
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from eodledger.functions.texts import like_ignore_case
-from eodledger.operators.sizing import fits_broadcast
 
 GRAM = 3
+INLINE_TEMPLATES = 500
 
 
 def cast_key_join(
@@ -21,21 +21,29 @@ def cast_key_join(
     return left.join(right, on, how)
 
 
-def not_in(probe: DataFrame, probe_key: Column, listed: DataFrame, listed_key: Column) -> DataFrame:
+def not_in(
+    probe: DataFrame,
+    probe_key: Column,
+    listed: DataFrame,
+    listed_key: Column,
+    null_listed: bool = True,
+) -> DataFrame:
     """SQL ``NOT IN (subquery)`` with its NULL rules, without broadcasting the list.
 
     A NULL in the list empties the result, and a NULL probe is dropped unless the list
-    is empty. Both facts come from one scalar aggregate; the rest is an equi anti join
-    that can be shuffled at any size.
+    is empty. Both facts are scalars; the rest is an equi anti join that can be shuffled
+    at any size. Say ``null_listed=False`` when the list cannot hold NULL: one row of it
+    then tells all that is needed.
     """
     values = listed.select(listed_key.alias("__listed"))
-    facts = values.agg(
+    counted = (values if null_listed else values.limit(1)).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("__listed").isNull()).alias("n_null")
     )
-    no_null = facts.select(F.col("n_null") == 0).scalar()
-    is_empty = facts.select(F.col("n") == 0).scalar()
+    is_empty = counted.select(F.col("n") == 0).scalar()
     keyed = probe.withColumn("__probe", probe_key)
-    allowed = keyed.where(no_null & (F.col("__probe").isNotNull() | is_empty))
+    allowed = keyed.where(F.col("__probe").isNotNull() | is_empty)
+    if null_listed:
+        allowed = allowed.where(counted.select(F.col("n_null") == 0).scalar())
     return allowed.join(
         values.distinct(), F.col("__probe") == F.col("__listed"), "left_anti"
     ).drop("__probe")
@@ -136,27 +144,43 @@ def _match_by_token(texts: DataFrame, text: str, patterns: DataFrame, pattern: s
 
 
 def like_template_join(
-    df: DataFrame, text: str, templates: DataFrame, pattern: str, fits: bool | None = None
+    df: DataFrame, text: str, templates: DataFrame, pattern: str, inline_up_to: int = INLINE_TEMPLATES
 ) -> DataFrame:
     """Left join where the right side holds LIKE patterns, ignoring case.
 
-    A text that matches several templates yields one row for each. Templates within a
-    measured size are broadcast and tested in place. Beyond it, distinct texts meet the
-    patterns on a shared token, only those pairs are tested, and the matches are joined
-    back by equality.
+    A text that matches several templates yields one row for each. Up to
+    ``inline_up_to`` templates become literals of a row expression: every pattern is
+    compiled once and no rows move. More templates meet the distinct texts on a shared
+    token, only those pairs are tested, and the matches are joined back by equality.
     """
-    if fits is None:
-        fits = fits_broadcast(templates)
-    if fits:
-        return df.join(
-            F.broadcast(templates), like_ignore_case(F.col(text), F.col(pattern)), "left"
-        )
+    known = templates.take(inline_up_to + 1)
+    if len(known) <= inline_up_to:
+        return _match_inline(df, text, templates, pattern, known)
     matches = _match_by_token(df, text, templates, pattern).join(
         templates, F.col("__pattern") == F.col(pattern), "inner"
     )
     return df.join(matches, F.col(text) == F.col("__text"), "left").drop("__text", "__pattern")
 
 
+def _match_inline(
+    df: DataFrame, text: str, templates: DataFrame, pattern: str, known: Sequence[Row]
+) -> DataFrame:
+    def literal(row: Row) -> Column:
+        typed = [F.lit(row[f.name]).cast(f.dataType) for f in templates.schema]
+        return F.struct(*[value.alias(f.name) for value, f in zip(typed, templates.schema)])
+
+    hits = [
+        F.when(like_ignore_case(F.col(text), F.lit(row[pattern])), literal(row))
+        for row in known
+        if row[pattern] is not None
+    ]
+    if not hits:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in templates.schema]
+        return df.select("*", *nothing)
+    matched = df.withColumn("__hit", F.explode_outer(F.array_compact(F.array(*hits))))
+    return matched.select(*df.columns, "__hit.*")
+
+
 def rate_pivot(
     df: DataFrame,
     id_column: str,

@@ -17,8 +17,10 @@ def daily_close(
 
     max_by is combined before the exchange, so a symbol with a third of all ticks costs
     its reducer one partial row per map task; a window would bring in every tick.
+    Without ``ties`` it also runs as a hash aggregate, which needs no sort; name tie
+    columns only where a symbol can have two prices at one time.
     """
-    order = F.struct(*[F.col(c) for c in (at, *ties)])
+    order = F.struct(*[F.col(c) for c in (at, *ties)]) if ties else F.col(at)
     return prices.groupBy(symbol, F.to_date(at).alias("day")).agg(
         F.max_by(F.col(price), order).alias("close")
     )

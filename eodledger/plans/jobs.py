@@ -82,26 +82,24 @@ class Usage:
     def label(self) -> str:
         return self.table
 
-    def found_in(self, text: Column) -> Column:
+    def found_in(self, lowered: Column) -> Column:
         """The table name and any of the column names, ignoring case."""
-        lowered = F.lower(text)
-        found = F.contains(lowered, F.lit(self.table.lower()))
         if not self.columns:
-            return found & F.lit(False)
+            return F.lit(False)
         named = [F.contains(lowered, F.lit(c.lower())) for c in self.columns]
-        return found & reduce(lambda a, b: a | b, named)
+        return F.contains(lowered, F.lit(self.table.lower())) & reduce(lambda a, b: a | b, named)
 
-    def found_raw(self, text: Column) -> Column:
-        """The table name as written in the lowered text: a name with capitals is never found."""
-        return F.contains(F.lower(text), F.lit(self.table))
+    def found_raw(self, lowered: Column) -> Column:
+        """The table name as written: one with capitals is never found in lowered text."""
+        return F.contains(lowered, F.lit(self.table))
 
 
 def name_usage(corpus: DataFrame, text: str, usages: Sequence[Usage], raw: bool = False) -> DataFrame:
-    """One row per text and usage found; all usages are tested in a single pass."""
-    tests = [
-        F.when(u.found_raw(F.col(text)) if raw else u.found_in(F.col(text)), F.lit(u.label)) for u in usages
-    ]
-    return corpus.withColumn("used", F.explode(F.array_compact(F.array(*tests)))).drop(text)
+    """One row per text and usage found; each text is lowered once and read in one pass."""
+    lowered = corpus.withColumn("__lowered", F.lower(text)).drop(text)
+    column = F.col("__lowered")
+    tests = [F.when(u.found_raw(column) if raw else u.found_in(column), F.lit(u.label)) for u in usages]
+    return lowered.withColumn("used", F.explode(F.array_compact(F.array(*tests)))).drop("__lowered")
 
 
 def usage_counts(found: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def exchange_rates(tables: Mapping[str, DataFrame], cfg: ReportConfig) -> DataFr
         .where(F.col("timereceived_server") >= F.lit(first_day.isoformat()).cast("timestamp_ntz"))
         .select("core_symbol", "timereceived_server", F.col("close").alias("price"))
     )
-    closes = daily_close(prices, "core_symbol", "timereceived_server", "price", ["price"])
+    closes = daily_close(prices, "core_symbol", "timereceived_server", "price")
     closes = closes.withColumn("plain", F.replace("core_symbol", F.lit("/"), F.lit("")))
     settings = tables["symbol_settings"].select(
         "symbol", "start_date", "last_active", "contractsize", "basecurrency", "type"

@@ -166,13 +166,12 @@ def day_transactions(tables: Tables, cfg: ReportConfig) -> DataFrame:
 def transactions(tables: Tables, day_rows: DataFrame) -> DataFrame:
     """[server, login] Transaction measures.
 
-    Amounts are first summed per account, command and comment, so each comment is held
-    against the templates once per account. Commands that feed no measure lose their
-    comment beforehand and fall into one group.
+    Commands that feed no measure lose their comment beforehand, which saves matching
+    it and cannot multiply them.
     """
     comment = F.when(F.col("cmd").isin(MONEY, CREDIT), F.col("comment")).alias("comment")
-    sums = day_rows.groupBy("server", "login", "cmd", comment).agg(F.sum("profit").alias("profit"))
-    matched = like_template_join(sums, "comment", _templates(tables), "comment_template")
+    rows = day_rows.select("server", "login", "cmd", "profit", comment)
+    matched = like_template_join(rows, "comment", _templates(tables), "comment_template")
     return sum_measures(matched, ["server", "login"], "profit", trade_measures(), TOTALS)
 
 
@@ -199,10 +198,10 @@ def wallet_rows(tables: Tables, cfg: ReportConfig, known_users: DataFrame) -> Da
 
 def wallet_transactions(tables: Tables, cfg: ReportConfig, rows: DataFrame) -> DataFrame:
     """[login] Wallet measures. All rows share one server label, so it is not grouped on."""
-    sums = rows.groupBy(
-        F.col("external_id").cast("string").alias("login"), "type", "trading_server_comment"
-    ).agg(F.sum("fund_amount").alias("fund_amount"))
-    matched = like_template_join(sums, "trading_server_comment", _templates(tables), "comment_template")
+    amounts = rows.select(
+        F.col("external_id").cast("string").alias("login"), "type", "fund_amount", "trading_server_comment"
+    )
+    matched = like_template_join(amounts, "trading_server_comment", _templates(tables), "comment_template")
     measures = wallet_measures(cfg.variant, cfg.extra_transfer_type)
     return sum_measures(matched, ["login"], "fund_amount", measures, TOTALS).withColumn(
         "server", F.lit("wallet")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eodledger.config import ReportConfig
 from eodledger.functions.times import (
-    half_hour_floor,
+    bucket_is,
     ntz,
     seconds_between,
     to_report_tz,
@@ -88,7 +88,7 @@ def closed(tables: Tables, cfg: ReportConfig) -> DataFrame:
         ~F.col("server").isin(*cfg.excluded_servers) & F.col("ticket").isNotNull()
     )
     month = _trades(_month(tables["report_server_trades_closed"], cfg), cfg)
-    gone = not_in(month, key, still_open, key)
+    gone = not_in(month, key, still_open, key, null_listed=False)
     return rank_then_keep(gone, TRADE_KEY, "modify_time", _within_day("close_time", cfg), TRADE_TIES)
 
 
@@ -96,7 +96,7 @@ def open_at_report(tables: Tables, cfg: ReportConfig) -> DataFrame:
     """Open trades seen in exactly the report hour's bucket."""
     local = to_report_tz(F.col("utc_now"), cfg.report_tz)
     hour = cfg.report_time.replace(minute=0, second=0, microsecond=0)
-    seen = _month(tables["report_server_trades_open_history"], cfg).where(half_hour_floor(local) == ntz(hour))
+    seen = _month(tables["report_server_trades_open_history"], cfg).where(bucket_is(local, hour))
     return _trades(seen, cfg)
 
 

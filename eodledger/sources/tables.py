@@ -18,6 +18,9 @@ ADJUSTMENT_FILE = (
     "comment string, fund_amount decimal(38,6)"
 )
 
+# The columns a date is split into.
+DAY_SPLIT = ("year", "month", "day")
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -75,8 +78,15 @@ def full_refresh(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 
 
-def full_refresh_path(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def full_refresh_path(df: DataFrame, path: str, days: Sequence[str] = ()) -> None:
+    """Replace the rows below a path, split by the given columns."""
+    writer = _balanced(df, days).write.mode("overwrite")
+    (writer.partitionBy(*days) if days else writer).parquet(path)
+
+
+def _balanced(df: DataFrame, days: Sequence[str]) -> DataFrame:
+    """Files of even size: a large day is divided, small ones are not scattered."""
+    return df.hint("rebalance", *days) if days else df
 
 
 def append_by_position(df: DataFrame, table: str, columns: Sequence[str]) -> None:
@@ -87,7 +97,7 @@ def append_by_position(df: DataFrame, table: str, columns: Sequence[str]) -> Non
 def append_path(df: DataFrame, path: str, columns: Sequence[str], days: Sequence[str]) -> None:
     """Write the day partitions of ``df``; running the same day again replaces it."""
     (
-        df.select(*columns)
+        _balanced(df.select(*columns), days)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*days)
