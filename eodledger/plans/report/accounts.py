@@ -250,7 +250,8 @@ def all_accounts(
     """[server, login] The wide account row.
 
     The population is every account state plus every wallet. Account states carry their
-    own columns into the union, so they need not be joined to themselves again.
+    own columns into the union, so they need not be joined to themselves again. Parent
+    and member are attached to the narrow trading account, not to the wide row.
     """
     wallets = accounts.where(F.col("type").isin(*cfg.wallet_types)).select(
         F.col("external_id").cast("string").alias("login")
@@ -292,19 +293,20 @@ def all_accounts(
     member = user.join(first_dates, F.col("member_id") == F.col("ft_user_id"), "left").drop("ft_user_id")
     rates = rebate_rates(tables, cfg)
 
+    ta = left_join_spread_nulls(ta, parents, "parent_ta_id", "parent_id", "external_id")
+    ta = left_join_spread_nulls(ta, member, "user_id", "member_id", "external_id")
+
     is_wallet = F.col("login").like(WALLET_LOGIN)
     joined = population.join(servers, F.col("server") == F.col("cs_server"), "left")
     joined = residual_or_join(
         joined, ta, "login", "external_id", (F.col("server") == F.col("ta_server")) | is_wallet
     )
-    joined = left_join_spread_nulls(joined, parents, "parent_ta_id", "parent_id", "login")
     joined = joined.join(
         groups,
         (F.col("trading_server_id") == F.col("group_server_id")) & (F.col("group") == F.col("group_name")),
         "left",
     )
     joined = left_join_spread_nulls(joined, rates, "group_id", "trading_server_group_id", "login")
-    joined = left_join_spread_nulls(joined, member, "user_id", "member_id", "login")
     kept = joined.where(texts.none_like_or_null(F.lower("member_sales_code"), HOUSE_SALES_CODES))
 
     credit, equity, balance = F.col("credit"), F.col("equity"), F.col("balance")

@@ -81,15 +81,17 @@ def closed(tables: Tables, cfg: ReportConfig) -> DataFrame:
     """[server, login, ticket] Trades closed on the day and open nowhere.
 
     Ticket and server are compared as one text. The day is tested on the newest
-    version only.
+    version only. The open-ticket test depends on nothing but the ranking key, so it
+    may follow the ranking, where one day's trades are left instead of a month's
+    versions.
     """
     key = F.concat(F.col("ticket").cast("string"), F.col("server"))
     still_open = tables["report_server_trades_open"].where(
         ~F.col("server").isin(*cfg.excluded_servers) & F.col("ticket").isNotNull()
     )
     month = _trades(_month(tables["report_server_trades_closed"], cfg), cfg)
-    gone = not_in(month, key, still_open, key, null_listed=False)
-    return rank_then_keep(gone, TRADE_KEY, "modify_time", _within_day("close_time", cfg), TRADE_TIES)
+    day = rank_then_keep(month, TRADE_KEY, "modify_time", _within_day("close_time", cfg), TRADE_TIES)
+    return not_in(day, key, still_open, key, null_listed=False)
 
 
 def open_at_report(tables: Tables, cfg: ReportConfig) -> DataFrame:
