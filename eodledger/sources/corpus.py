@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root`` whose name holds a dot and whose bytes are UTF-8.
 
-    Empty files are kept. Spark itself passes over names that start with a dot or an
-    underscore.
+    Spark itself passes over empty files, in which nothing can be found, and over names
+    that start with a dot or an underscore.
     """
     files = (
         spark.read.format("binaryFile")

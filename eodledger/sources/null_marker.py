@@ -20,17 +20,27 @@ def encode(field: Column) -> Column:
 
 def write_csv(df: DataFrame, path: str) -> None:
     text = df.select([encode(F.col(c)).alias(c) for c in df.columns])
-    text.write.mode("overwrite").options(header=True, emptyValue="", escape='"', quote='"').csv(path)
-
-
-def read_csv(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    text.write.mode("overwrite").options(
+        header=True,
+        emptyValue="",
+        escape='"',
+        quote='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+
+
+def read_csv(
+    spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
     """All columns as strings.
 
     With ``names`` the header line is not consulted for the schema, which saves the
-    driver a read of the first file.
+    driver a read of the first file. ``multi_line`` allows line breaks inside quotes, at
+    the price of one task per file; without it such a row fails the load.
     """
     reader = spark.read.options(
-        header=True, inferSchema=False, multiLine=False, escape='"', quote='"', mode="FAILFAST"
+        header=True, inferSchema=False, multiLine=multi_line, escape='"', quote='"', mode="FAILFAST"
     )
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
