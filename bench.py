@@ -78,12 +78,14 @@ def main() -> None:
 
     from eodledger.catalog import load_all
     from eodledger.catalog.registry import QUERIES
+    from eodledger.session import with_startup_settings
 
     load_all()
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        with_startup_settings(SparkSession.builder)
+        .master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false")

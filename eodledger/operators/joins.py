@@ -88,53 +88,60 @@ def semi_on(df: DataFrame, listed: DataFrame, names: Sequence[str]) -> DataFrame
     return df.join(listed.select(*names).distinct(), list(names), "left_semi")
 
 
-def _literal_runs(pattern: Column) -> Column:
-    return F.split(pattern, "[%_]")
-
-
-def _pattern_token(pattern: Column) -> Column:
-    """One token every text matching the pattern must hold.
-
-    The longest literal run, cut to GRAM characters; a pattern of wildcards only is
-    known by the text length it asks for.
-    """
-    longest = F.aggregate(
-        _literal_runs(pattern),
-        F.lit(""),
-        lambda best, run: F.when(F.length(run) > F.length(best), run).otherwise(best),
-    )
-    least = F.length(F.regexp_replace(pattern, "%", "")).cast("string")
-    by_length = F.when(F.contains(pattern, F.lit("%")), F.concat(F.lit(">="), least)).otherwise(
-        F.concat(F.lit("=="), least)
-    )
-    return F.when(longest != "", F.concat(F.lit("g:"), F.left(longest, F.lit(GRAM)))).otherwise(by_length)
+def _pieces(text: Column, n: int) -> Column:
+    """All n-character pieces of a text, as tokens."""
+    starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
+    cut = F.transform(starts, lambda i: F.concat(F.lit("g:"), F.substring(text, i, F.lit(n))))
+    return F.when(F.length(text) >= n, cut).otherwise(F.array().cast("array<string>"))
 
 
 def _text_tokens(text: Column) -> Column:
-    """All tokens of a text: its 1..GRAM character pieces and its length tests."""
+    """All tokens of a text: its pieces of up to GRAM characters and its length tests."""
     size = F.length(text)
-
-    def pieces_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), size - (n - 1))
-        cut = F.transform(starts, lambda i: F.concat(F.lit("g:"), F.substring(text, i, F.lit(n))))
-        return F.when(size >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    pieces = [pieces_of(n) for n in range(1, GRAM + 1)]
     at_least = F.transform(F.sequence(F.lit(0), size), lambda n: F.concat(F.lit(">="), n.cast("string")))
     exactly = F.array(F.concat(F.lit("=="), size.cast("string")))
+    pieces = [_pieces(text, n) for n in range(1, GRAM + 1)]
     return F.array_distinct(F.concat(*pieces, at_least, exactly))
 
 
+def _pattern_tokens(pattern: Column) -> Column:
+    """Tokens that every text matching the pattern must hold.
+
+    Pieces of its literal runs, as long as possible; a pattern of wildcards only is
+    known by the text length it asks for.
+    """
+    runs = F.filter(F.split(pattern, "[%_]"), lambda run: run != "")
+    long_pieces = F.flatten(F.transform(runs, lambda run: _pieces(run, GRAM)))
+    short_runs = F.transform(runs, lambda run: F.concat(F.lit("g:"), run))
+    least = F.length(F.regexp_replace(pattern, "%", "")).cast("string")
+    test = F.when(F.contains(pattern, F.lit("%")), ">=").otherwise("==")
+    return (
+        F.when(F.size(long_pieces) > 0, F.array_distinct(long_pieces))
+        .when(F.size(runs) > 0, F.array_distinct(short_runs))
+        .otherwise(F.array(F.concat(test, least)))
+    )
+
+
 def _match_by_token(texts: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
-    """Distinct (text, pattern) matches through an equi join on a shared token."""
+    """Distinct (text, pattern) matches through an equi join on a shared token.
+
+    A pattern is looked up by the one of its tokens that the fewest patterns share, so
+    that patterns with a common beginning do not all meet the same texts.
+    """
     lowered = texts.select(F.col(text).alias("__text")).distinct()
     tokens = lowered.where(F.col("__text").isNotNull()).withColumn(
         "__token", F.explode(_text_tokens(F.lower("__text")))
     )
-    wanted = (
+    offered = (
         patterns.select(F.col(pattern).alias("__pattern"))
         .distinct()
-        .withColumn("__token", _pattern_token(F.lower("__pattern")))
+        .withColumn("__token", F.explode(_pattern_tokens(F.lower("__pattern"))))
+    )
+    shared = offered.groupBy("__token").agg(F.count(F.lit(1)).alias("__sharers"))
+    wanted = (
+        offered.join(shared, "__token")
+        .groupBy("__pattern")
+        .agg(F.min_by("__token", F.struct("__sharers", "__token")).alias("__token"))
     )
     return (
         tokens.join(wanted, "__token")

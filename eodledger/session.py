@@ -17,6 +17,20 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings a session takes only when it starts. The report compiles to more generated
+# classes than the default cache holds, and builds thousands of column objects, each of
+# which would record where it was made.
+STARTUP_SETTINGS = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def with_startup_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+    for key, value in STARTUP_SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():

@@ -32,7 +32,8 @@ def _plain(value):
     if isinstance(value, (int, float)):
         if math.isnan(value):
             return None
-        return float(f"{float(value):.10g}") + 0.0
+        rounded = float(f"{float(value):.10g}")
+        return "-0.0" if str(rounded) == "-0.0" else rounded
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     if isinstance(value, datetime.date):
@@ -75,10 +76,12 @@ def main(folder: str, names: list[str]) -> int:
 
     from eodledger.catalog import load_all
     from eodledger.catalog.registry import CHECKS, QUERIES
+    from eodledger.session import with_startup_settings
 
     load_all()
     spark = (
-        SparkSession.builder.master("local[8]")
+        with_startup_settings(SparkSession.builder)
+        .master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from eodledger.session import tune  # noqa: E402
+from eodledger.session import tune, with_startup_settings  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 
@@ -16,7 +16,8 @@ DATA = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
     session = (
-        SparkSession.builder.master("local[*]")
+        with_startup_settings(SparkSession.builder)
+        .master("local[*]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
