@@ -153,7 +153,7 @@ def union_populations(t):
 
 @registered(
     "shard_union",
-    """SELECT o_orderkey, o_totalprice, year(o_orderdate) AS year, o_orderstatus AS server FROM orders
+    """SELECT o_orderkey, o_totalprice, year(o_orderdate)::INT AS year, o_orderstatus AS server FROM orders
         WHERE o_orderstatus IS NOT NULL AND o_orderdate IS NOT NULL""",
 )
 def shard_union(t):

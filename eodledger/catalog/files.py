@@ -87,7 +87,7 @@ def all_string_cast(t):
 
 @registered(
     "corpus_scan",
-    "SELECT page_id, length(html) + 1 AS characters, md5(html || chr(10)) AS digest FROM pages",
+    "SELECT page_id, (length(html) + 1)::INT AS characters, md5(html || chr(10)) AS digest FROM pages",
 )
 def corpus_scan(t):
     """Pages become a tree of one file each, which is then scanned as a corpus."""

@@ -68,8 +68,8 @@ def last_segment_filter(t):
 
 @registered(
     "date_window_filter",
-    """SELECT l_orderkey, l_linenumber, l_partkey, year(l_shipdate) AS year, month(l_shipdate) AS month,
-          day(l_shipdate) AS day
+    """SELECT l_orderkey, l_linenumber, l_partkey, year(l_shipdate)::INT AS year,
+          month(l_shipdate)::INT AS month, day(l_shipdate)::INT AS day
         FROM lineitem WHERE l_shipdate::DATE BETWEEN DATE '1996-02-29' AND DATE '1996-03-31'""",
 )
 def date_window_filter(t):

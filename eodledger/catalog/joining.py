@@ -37,7 +37,7 @@ def cast_key_join(t):
 
 @registered(
     "inner_cast_join",
-    """SELECT o_orderkey, c_mktsegment, year(o_orderdate) AS year_num FROM orders
+    """SELECT o_orderkey, c_mktsegment, year(o_orderdate)::INT AS year_num FROM orders
         JOIN customer ON c_custkey::VARCHAR = o_custkey::VARCHAR""",
 )
 def inner_cast_join(t):

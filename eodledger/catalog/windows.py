@@ -81,11 +81,11 @@ def union_dedup(t):
 @registered(
     "daily_close",
     """SELECT DISTINCT event_type, ts::DATE AS day,
-          first_value(value) OVER (PARTITION BY event_type, ts::DATE ORDER BY ts DESC, event_id DESC) AS close
+          first_value(value) OVER (PARTITION BY event_type, ts::DATE ORDER BY ts DESC) AS close
         FROM events""",
 )
 def daily_close(t):
-    return closes(t.events, "event_type", "ts", "value", ["event_id"])
+    return closes(t.events, "event_type", "ts", "value")
 
 
 @registered(
@@ -131,7 +131,7 @@ def latest_rate_lookup(t):
     report_day = day_literal(datetime(2024, 1, 30).date())
     return with_latest_rate(
         customers,
-        closes(t.events, "event_type", "ts", "value", ["event_id"]),
+        closes(t.events, "event_type", "ts", "value"),
         "kind",
         "event_type",
         "day",

@@ -39,9 +39,8 @@ def left_join_spread_nulls(
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys holding more than ``share`` of all rows: at most 1/share of them exist."""
-    counts = df.groupBy(*keys).count()
-    total = counts.agg(F.sum("count").alias("n"))
-    return counts.where(F.col("count") > total.select(F.col("n") * F.lit(share)).scalar()).drop("count")
+    least = df.agg((F.count(F.lit(1)) * F.lit(share)).alias("least")).scalar()
+    return df.groupBy(*keys).count().where(F.col("count") > least).drop("count")
 
 
 def salted_join(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from eodledger.functions.times import ntz
 from eodledger.operators.joins import semi_on
 from eodledger.sources.operational import TRANSACTION_COLUMNS
+from eodledger.sources.tables import as_strings, full_refresh, preview
 
 # Which queries of a history count as running, and whose are left alone.
 RUNNING = "RUNNING"
@@ -71,6 +72,33 @@ def adjusted_deals(
     return semi_on(tagged, wanted, ["server", "year", "deal", "login_text"]).select(*DEAL_COLUMNS)
 
 
+def save(df: DataFrame, table: str) -> DataFrame:
+    """Replace a table by a frame and return a preview of it."""
+    full_refresh(df, table)
+    return preview(df.sparkSession.table(table))
+
+
+def replicate(source: DataFrame, keys: DataFrame, table: str) -> DataFrame:
+    """Copy the transactions with listed ids into a warehouse table."""
+    return save(keyed_extract(source, keys, "id"), table)
+
+
+def adjust_transactions(
+    adjustment_file: DataFrame, crm: DataFrame, trades: DataFrame, deals: DataFrame, schema: str, suffix: str
+) -> DataFrame:
+    """Save an adjustment file, the CRM rows it names and the deals behind them.
+
+    The CRM rows are read back from their table, so the deals step starts from what was
+    saved.
+    """
+    save(as_strings(adjustment_file), f"{schema}.adj_transactions_{suffix}")
+    listed = adjustment_file.select(F.col("crm_transaction_no").alias("no"))
+    save(semi_on(crm.select(*TRANSACTION_COLUMNS), listed, ["no"]), f"{schema}.crm_transaction_adj_{suffix}")
+    saved = adjustment_file.sparkSession.table(f"{schema}.crm_transaction_adj_{suffix}")
+    found = adjusted_deals(adjustment_file, saved, trades, deals)
+    return save(found, f"{schema}.rs_transaction_adj_{suffix}")
+
+
 @dataclass(frozen=True)
 class Usage:
     """A table and some of its columns to look for in texts."""

@@ -60,28 +60,16 @@ TOTALS = {
 }
 
 
-def _head() -> Column:
-    return texts.segment(F.col("report_type"), 1)
-
-
-def _tail() -> Column:
-    return texts.segment(F.col("report_type"), -1)
-
-
-def _second() -> Column:
-    return texts.segment(F.col("report_type"), 2)
-
-
 def trade_measures() -> list[Measure]:
     """Measures of trade-server transactions: by command and comment template."""
     money = F.col("cmd") == MONEY
     sales = F.col("sales_type")
 
     def headed(*labels: str) -> Column:
-        return money & _head().isin(*labels)
+        return money & F.col("head").isin(*labels)
 
     def sold(*labels: str) -> Column:
-        return money & (_head().isin(*labels) | sales.isin(*labels))
+        return money & (F.col("head").isin(*labels) | sales.isin(*labels))
 
     both = ("Deposit", "Withdrawal")
     measures = [
@@ -94,9 +82,9 @@ def trade_measures() -> list[Measure]:
         Measure("credit_change", F.col("cmd") == CREDIT),
         Measure("internal_transfer", headed(TRANSFER)),
     ]
-    measures += [Measure(n, money & (_tail() == n.upper())) for n in IB_TRANSFERS + CATEGORY_TRANSFERS]
+    measures += [Measure(n, money & (F.col("tail") == n.upper())) for n in IB_TRANSFERS + CATEGORY_TRANSFERS]
     measures += [Measure(n, headed(label)) for n, label in FIRST_SEGMENT.items()]
-    measures += [Measure(n, money & (_second() == label)) for n, label in REBATES.items()]
+    measures += [Measure(n, money & (F.col("second") == label)) for n, label in REBATES.items()]
     return measures
 
 
@@ -108,7 +96,7 @@ def wallet_measures(variant: Variant, extra_transfer_type: int) -> list[Measure]
     """
     code = F.col("type")
     into, out = variant.deposit_codes, variant.withdrawal_codes
-    not_transfer = _head() != TRANSFER
+    not_transfer = F.col("head") != TRANSFER
     transfer = code.isin(TRANSFER_CODE, extra_transfer_type)
     own_code = {
         "credit": CREDIT_CODE,
@@ -126,18 +114,26 @@ def wallet_measures(variant: Variant, extra_transfer_type: int) -> list[Measure]
         Measure("credit_change", code == CREDIT_CODE),
         Measure("internal_transfer", transfer),
     ]
-    measures += [Measure(n, transfer & (_tail() == n.upper())) for n in IB_TRANSFERS]
-    measures += [Measure(n, (code == TRANSFER_CODE) & (_tail() == n.upper())) for n in CATEGORY_TRANSFERS]
+    measures += [Measure(n, transfer & (F.col("tail") == n.upper())) for n in IB_TRANSFERS]
+    measures += [Measure(n, (code == TRANSFER_CODE) & (F.col("tail") == n.upper())) for n in CATEGORY_TRANSFERS]
     measures += [
-        Measure(n, (code == own_code.get(n, MISC_CODE)) & (_head() == label))
+        Measure(n, (code == own_code.get(n, MISC_CODE)) & (F.col("head") == label))
         for n, label in FIRST_SEGMENT.items()
     ]
-    measures += [Measure(n, (code == REBATE_CODE) & (_second() == label)) for n, label in REBATES.items()]
+    measures += [Measure(n, (code == REBATE_CODE) & (F.col("second") == label)) for n, label in REBATES.items()]
     return measures
 
 
 def _templates(tables: Tables) -> DataFrame:
-    return tables["transaction_comment_mapping"].select("comment_template", "report_type", "sales_type")
+    """Templates with their report type cut into segments, once per template."""
+    kind = F.col("report_type")
+    return tables["transaction_comment_mapping"].select(
+        "comment_template",
+        texts.segment(kind, 1).alias("head"),
+        texts.segment(kind, 2).alias("second"),
+        texts.segment(kind, -1).alias("tail"),
+        "sales_type",
+    )
 
 
 def day_transactions(tables: Tables, cfg: ReportConfig) -> DataFrame:

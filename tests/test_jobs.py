@@ -84,3 +84,22 @@ def test_keyed_extract_keeps_duplicate_rows(rows):
     source = rows([(1, "a"), (1, "a"), (2, "b")], "id int, v string")
     keys = rows([(1,), (1,)], "id int")
     assert jobs.keyed_extract(source, keys, "id", ["id", "v"]).count() == 2
+
+
+def test_jobs_save_tables(spark, rows):
+    when = "timestamp_ntz"
+    crm = rows(
+        [(1, 11, "T1", 5, "500", None, None, D(2023, 5, 1), None), (2, 12, "T2", 5, "600", None, None, D(2024, 5, 1), None)],
+        f"id bigint, ticket bigint, no string, user_id bigint, external_id string, processed_at {when}, "
+        f"completed_at {when}, created_at {when}, updated_at {when}",
+    )
+    shown = jobs.replicate(crm, rows([(2,), (7,)], "id bigint"), "default.copied")
+    assert [r["no"] for r in shown.collect()] == ["T2"]
+    trades = rows([(11, 500, "s1")], "ticket bigint, login bigint, server string")
+    deals = rows([(11, 500, "s1", 2023)], "deal bigint, login bigint, server string, year int").withColumns(
+        {"time": F.lit("2023-05-01").cast(when), "timeMsc": F.lit("2023-05-01").cast(when)}
+    )
+    file = rows([("T1", 3)], "crm_transaction_no string, amount int")
+    assert jobs.adjust_transactions(file, crm, trades, deals, "default", "x").count() == 1
+    assert dict(spark.table("default.adj_transactions_x").dtypes)["amount"] == "string"
+    assert spark.table("default.crm_transaction_adj_x").count() == 1
