@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HALF_HOUR = timedelta(minutes=30)
+# No zone is further from UTC than this.
+LARGEST_OFFSET = timedelta(hours=18)
 
 
 def ntz(moment: datetime) -> Column:
@@ -57,6 +59,26 @@ def to_report_tz(utc: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
+def local_bucket_at_most(utc: Column, zone: str, cutoff: datetime) -> Column:
+    """Half-hour bucket of the local time not after the cutoff.
+
+    The plain test on the stored time comes first: it is wide enough for every zone and
+    lets the scan skip what cannot qualify.
+    """
+    possible = utc < ntz(half_hour_floor_of(cutoff) + HALF_HOUR + LARGEST_OFFSET)
+    return possible & bucket_at_most(to_report_tz(utc, zone), cutoff)
+
+
+def local_bucket_is(utc: Column, zone: str, bucket: datetime) -> Column:
+    """Half-hour bucket of the local time equal to the given one, with the same first test.
+
+    Counting buckets from the wanted one converts each time once; a range would do it twice.
+    """
+    possible = (utc >= ntz(bucket - LARGEST_OFFSET)) & (utc < ntz(bucket + HALF_HOUR + LARGEST_OFFSET))
+    distance = F.timestamp_diff("MICROSECOND", ntz(bucket), to_report_tz(utc, zone))
+    return possible & (F.floor(distance / (HALF_HOUR // timedelta(microseconds=1))) == 0)
+
+
 def ymd_window(first: date | None, last: date, year="year", month="month", day="day") -> Column:
     """Rows whose split date columns lie in [first, last].
 

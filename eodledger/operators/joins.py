@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from eodledger.functions.texts import like_ignore_case
+from eodledger.functions.texts import NO_ESCAPE, like_ignore_case
 
 GRAM = 3
 INLINE_TEMPLATES = 500
@@ -176,15 +177,19 @@ def _match_inline(
         typed = [F.lit(row[f.name]).cast(f.dataType) for f in templates.schema]
         return F.struct(*[value.alias(f.name) for value, f in zip(typed, templates.schema)])
 
+    kinds = {f.name: f.dataType for f in templates.schema}
+    usable = [row for row in known if row[pattern] is not None]
+    if not usable:
+        return df.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()])
+    none = F.array().cast(ArrayType(templates.schema))
     hits = [
-        F.when(like_ignore_case(F.col(text), F.lit(row[pattern])), literal(row))
-        for row in known
-        if row[pattern] is not None
+        F.when(
+            F.like(F.col("__lowered"), F.lower(F.lit(row[pattern])), F.lit(NO_ESCAPE)), F.array(literal(row))
+        ).otherwise(none)
+        for row in usable
     ]
-    if not hits:
-        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in templates.schema]
-        return df.select("*", *nothing)
-    matched = df.withColumn("__hit", F.explode_outer(F.array_compact(F.array(*hits))))
+    lowered = df.withColumn("__lowered", F.lower(text))
+    matched = lowered.select(*df.columns, F.explode_outer(F.concat(*hits)).alias("__hit"))
     return matched.select(*df.columns, "__hit.*")
 
 

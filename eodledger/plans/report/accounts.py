@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eodledger.config import ReportConfig
 from eodledger.functions import amounts, texts
-from eodledger.functions.times import bucket_at_most, ntz, to_report_tz, ymd_window
+from eodledger.functions.times import local_bucket_at_most, ntz, ymd_window
 from eodledger.operators.dedup import as_of_snapshot, latest_per_key
 from eodledger.operators.joins import rate_pivot, residual_or_join
 from eodledger.operators.skew import left_join_spread_nulls
@@ -83,12 +83,11 @@ def account_state(tables: Tables, cfg: ReportConfig) -> DataFrame:
     Ranked before the client test: an account whose newest snapshot is excluded is out
     even if an older one would pass.
     """
-    local = to_report_tz(F.col("utc_now"), cfg.report_tz)
     known = (
         tables["report_server_users_history"]
         .where(~F.col("server").isin(*cfg.excluded_servers))
         .where(ymd_window(cfg.day_before, cfg.day))
-        .where(bucket_at_most(local, cfg.day_start))
+        .where(local_bucket_at_most(F.col("utc_now"), cfg.report_tz, cfg.day_start))
         .select("server", F.col("login").cast("string").alias("login"), *SNAPSHOT_COLUMNS)
     )
     newest = latest_per_key(known, ["server", "login"], "utc_now", ["equity", "balance"])

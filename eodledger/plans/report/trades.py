@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from eodledger.config import ReportConfig
 from eodledger.functions.times import (
-    bucket_is,
+    local_bucket_is,
     ntz,
     seconds_between,
-    to_report_tz,
     ymd_window,
 )
 from eodledger.operators.dedup import latest_per_key, rank_then_keep, union_latest
@@ -96,9 +95,10 @@ def closed(tables: Tables, cfg: ReportConfig) -> DataFrame:
 
 def open_at_report(tables: Tables, cfg: ReportConfig) -> DataFrame:
     """Open trades seen in exactly the report hour's bucket."""
-    local = to_report_tz(F.col("utc_now"), cfg.report_tz)
     hour = cfg.report_time.replace(minute=0, second=0, microsecond=0)
-    seen = _month(tables["report_server_trades_open_history"], cfg).where(bucket_is(local, hour))
+    seen = _month(tables["report_server_trades_open_history"], cfg).where(
+        local_bucket_is(F.col("utc_now"), cfg.report_tz, hour)
+    )
     return _trades(seen, cfg)
 
 

@@ -64,6 +64,18 @@ def test_report_zone_does_not_depend_on_the_session(spark, rows):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Athens", "America/New_York", "Pacific/Kiritimati", "+02:00"])
+def test_local_buckets_agree_with_the_floor(spark, zone):
+    # two days around a clock change, a row every seven minutes and some
+    df = spark.range(0, 420).select(
+        (F.lit("2024-10-26 00:00:00").cast("timestamp_ntz") + F.col("id") * F.expr("interval '421' second")).alias("t")
+    )
+    floor = times.half_hour_floor(times.to_report_tz(F.col("t"), zone))
+    for bucket in (D(2024, 10, 26), D(2024, 10, 27, 3, 30), D(2024, 10, 27)):
+        same(df.where(times.local_bucket_is(F.col("t"), zone, bucket)), df.where(floor == times.ntz(bucket)))
+        same(df.where(times.local_bucket_at_most(F.col("t"), zone, bucket)), df.where(floor <= times.ntz(bucket)))
+
+
 def test_day_window_prunes_partitions(spark, tmp_path):
     days = spark.range(0, 90).select(
         "id", F.date_add(F.lit("2023-12-01").cast("date"), F.col("id").cast("int")).alias("d")
