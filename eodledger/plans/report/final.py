@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodledger.config import ReportConfig
@@ -13,7 +13,7 @@ from eodledger.functions import amounts, texts
 from eodledger.functions.times import ntz, to_report_tz
 from eodledger.operators.dedup import first_per_key, latest_per_key
 from eodledger.plans.report import accounts, exchange, money, trades
-from eodledger.sources.tables import append_by_position
+from eodledger.sources.tables import Warehouse, append_by_position
 
 Tables = Mapping[str, DataFrame]
 Stage = Callable[[str, DataFrame], DataFrame]
@@ -38,6 +38,20 @@ rollover misc_op split compensation misc_clear misc_tr misc_funding promo ib_reb
 cpa_rebate total_rebate lifetime_equity_change_usd
 """
 
+# The tables read from the landing and the reporting schema, and the one
+# appended to.
+LANDING_INPUTS = """
+report_server_users_history report_server_trades_open report_server_trades_open_history
+report_server_trades_closed report_server_trades_pending_history report_server_trades_transactions
+crm_users_history crm_member_account_has_languages crm_external_symbols crm_external_symbol_groups
+crm_trading_accounts_history crm_trading_accounts_daily crm_trading_servers crm_trading_server_groups
+crm_trading_server_group_has_commission_limits crm_transactions pricing_ohlc_minute symbol_settings
+""".split()
+REPORTING_INPUTS = """
+crm_servers accounting_equity_report_jurisdiction transaction_comment_mapping accounting_t_1_equity_report
+""".split()
+REPORT_TABLE = "accounting_t_1_equity_report_delta"
+
 # Columns that are kept although nothing fills them.
 UNUSED_AMOUNTS = ("rebate", "instant_rebate", "adjustment", "misc")
 
@@ -314,6 +328,19 @@ def equity_report(tables: Tables, cfg: ReportConfig, stage: Stage = _as_is) -> D
     return to_report(local_currency(parts, cfg), parts.rates, cfg)
 
 
+def load_inputs(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
+    landing = {name: warehouse.landing_table(spark, name) for name in LANDING_INPUTS}
+    return landing | {name: warehouse.reporting_table(spark, name) for name in REPORTING_INPUTS}
+
+
+def run_daily_report(
+    spark: SparkSession, warehouse: Warehouse, cfg: ReportConfig, stage: Stage = _as_is
+) -> None:
+    """Read the warehouse, compute the report and append it to the report table."""
+    report = equity_report(load_inputs(spark, warehouse), cfg, stage)
+    append_report(report, warehouse.reporting_name(REPORT_TABLE), cfg)
+
+
 def append_report(report: DataFrame, table: str, cfg: ReportConfig) -> None:
     """Append to the report table by position."""
     append_by_position(report, table, output_columns(cfg))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,16 +56,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/eodledger/{uuid.uuid4().hex}/{name}"
 
 
-def checkpoint_stage(spark: SparkSession):
-    """Stage function that writes a shared frame once to the checkpoint folder.
+def stored_stage(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
+    """Stage function that writes a shared frame once below the shared folder.
 
-    The result survives lost executors, and frames read by several branches of the
-    report are computed a single time.
+    Frames read by several branches of the report are then computed a single time, the
+    result survives lost executors, and its readers still prune columns and know its size.
     """
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True)
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     return stage

@@ -33,11 +33,14 @@ class Warehouse:
     def _name(self, schema: str, table: str) -> str:
         return ".".join(p for p in (self.catalog, schema, table) if p)
 
+    def reporting_name(self, table: str) -> str:
+        return self._name(self.reporting, table)
+
     def landing_table(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.table(self._name(self.landing, table))
 
     def reporting_table(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.table(self._name(self.reporting, table))
+        return spark.table(self.reporting_name(table))
 
 
 def table_name_of(path: str) -> str:

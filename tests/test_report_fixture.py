@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from eodledger.config import VARIANT_A, VARIANT_B, ReportConfig
 from eodledger.plans.report import final
-from eodledger.session import checkpoint_stage
+from eodledger.session import stored_stage
+from eodledger.sources.tables import Warehouse
 
 D = datetime
 EVE = D(2024, 7, 15)
@@ -338,7 +339,7 @@ def test_no_rate_off_midnight(tables):
 
 
 def test_staged_report_is_the_same(spark, tables, report):
-    staged = final.equity_report(tables, CFG, checkpoint_stage(spark)).collect()
+    staged = final.equity_report(tables, CFG, stored_stage(spark)).collect()
     assert {r["login"]: r.asDict() for r in staged} == report
 
 
@@ -362,6 +363,21 @@ def test_append_by_position(spark, tables, report):
     assert {r["c3"] for r in back.collect()} == set(report)
 
 
+def test_daily_run_over_warehouse_tables(spark, tables, report):
+    spark.sql("CREATE DATABASE IF NOT EXISTS land")
+    spark.sql("CREATE DATABASE IF NOT EXISTS rep")
+    assert set(final.LANDING_INPUTS) | set(final.REPORTING_INPUTS) == set(INPUTS)
+    for name, df in tables.items():
+        schema = "land" if name in final.LANDING_INPUTS else "rep"
+        df.write.mode("overwrite").saveAsTable(f"{schema}.{name}")
+    house = Warehouse(landing="land", reporting="rep")
+    empty = final.equity_report(final.load_inputs(spark, house), CFG).where("false")
+    empty.write.mode("overwrite").saveAsTable(f"rep.{final.REPORT_TABLE}")
+    final.run_daily_report(spark, house, CFG, stored_stage(spark))
+    saved = spark.table(f"rep.{final.REPORT_TABLE}").collect()
+    assert {r["login"]: r.asDict() for r in saved} == report
+
+
 def test_rows_unique(tables):
     df = final.equity_report(tables, CFG)
     key = ["dt_report", "user_id", "login", "trading_server", "currency"]
