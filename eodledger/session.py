@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -42,18 +41,42 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a session that names none (a local test) falls back to a temporary folder.
+    A session that names none (a local test) uses a folder of its warehouse, which driver
+    and executors share as well. There is no machine-local fallback.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="eodledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder below the shared one, removed when the application ends."""
+    context = spark.sparkContext
+    if context.applicationId not in _SCRATCH:
+        root = f"{shared_folder(spark)}/eodledger-{uuid.uuid4().hex}"
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _SCRATCH[context.applicationId] = root
+    return _SCRATCH[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path nobody else uses, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/eodledger/{uuid.uuid4().hex}/{name}"
+    """A path nobody else uses, below the application's shared folder."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str = "frame") -> DataFrame:
+    """The frame's rows, written once below the shared folder: its lineage ends there."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stored_stage(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
@@ -63,9 +86,4 @@ def stored_stage(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
     result survives lost executors, and its readers still prune columns and know its size.
     """
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return stage
+    return lambda name, df: stored(df, name)

@@ -5,9 +5,10 @@ from compare import connect, difference, spark_rows, sql_rows
 from conftest import DATA, plan_of
 
 import __spark_entry__ as driver
+from eodledger.catalog import load_all
+from eodledger.catalog.registry import CHECKS, QUERIES
 
-QUERIES = driver.queries()
-CHECKS = driver.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,10 @@ def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
 
 
+def test_driver_lists_them_all():
+    assert set(QUERIES) <= set(driver.queries()) and set(CHECKS) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     assert len(driver.entry(spark).columns) == 98
 
