@@ -50,7 +50,7 @@ RULES = (
     Rule("marks", "5 * n_marks > n_words", "50 * n_marks <= n_words"),
     Rule("signs", "6 * n_signs > word_chars", "20 * n_signs <= word_chars"),
     Rule("lines", "10 * n_dup_lines > 3 * n_lines", "n_lines >= 4 and n_dup_lines = 0"),
-    Rule("repeats", "100 * n_repeat_words > 20 * n_words", "n_words >= 40 and 100 * n_repeat_words <= 2 * n_words"),
+    Rule("repeats", "100 * n_repeat_words > 30 * n_words", "n_words >= 40 and 100 * n_repeat_words <= 2 * n_words"),
     Rule("length of words", "word_chars < 2 * n_words or word_chars > 12 * n_words", "word_chars >= 3 * n_words and word_chars <= 9 * n_words"),
     Rule("capitals", "3 * n_upper > word_chars", "8 * n_upper <= word_chars"),
     Rule("shouting", "10 * n_shouts > n_words", "50 * n_shouts <= n_words"),
