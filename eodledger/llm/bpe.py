@@ -136,7 +136,7 @@ class Encoder:
     def __init__(self, path: str):
         self.path, self.v = path, vocabulary(path)
         self.fragment: dict[tuple, list[int]] = {}
-        self.special = {token: (str(i), token) for token, i in self.v.special.items()}
+        self.special = {token: (str(i), token, i.to_bytes(2, "big")) for token, i in self.v.special.items()}
         self.word, self.older = dict(self.special), {}
         self.library = None
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.v.special, key=len, reverse=True))) + ")").split
@@ -158,8 +158,8 @@ class Encoder:
         kinds = self.library.pre_tokenizer.pre_tokenize_str(normal)
         return [_Mapped(w) for w, _ in kinds]
 
-    def _encode(self, word: str) -> tuple[str, str]:
-        """The ids of a word, and its tokens, joined by spaces."""
+    def _encode(self, word: str) -> tuple[str, str, bytes]:
+        """The ids of a word and its tokens, joined by spaces; the ids as two bytes each, high byte first."""
         if isinstance(word, _Mapped) or word.isascii() and word.isprintable():
             mapped = str(word)
         else:
@@ -174,9 +174,9 @@ class Encoder:
                 if len(key) < 100:
                     self.fragment[key] = found
             out += found
-        return " ".join(map(str, out)), self.decode(out)
+        return " ".join(map(str, out)), self.decode(out), b"".join([i.to_bytes(2, "big") for i in out])
 
-    def look_up(self, words: list[str]) -> list[tuple[str, str]]:
+    def look_up(self, words: list[str]) -> list[tuple[str, str, bytes]]:
         if len(self.word) > REMEMBERED:  # words not seen since the last time are forgotten
             self.word, self.older = dict(self.special), self.word
         known = self.word
@@ -192,7 +192,7 @@ class Encoder:
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a text."""
-        return [int(i) for ids, _ in self.look_up(self.words(text or "")) for i in ids.split()]
+        return [int(i) for ids, _, _ in self.look_up(self.words(text or "")) for i in ids.split()]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens of the ids, joined by spaces: this vocabulary has no other decoder."""
@@ -225,7 +225,7 @@ def _digests(path: str, with_ids: bool = False):
             out: dict = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for text in texts:
                 found = encoder.look_up(encoder.words(text or ""))
-                ids, decoded = map(" ".join, zip(*found)) if found else ("", "")
+                ids, decoded = map(" ".join, list(zip(*found))[:2]) if found else ("", "")
                 if with_ids:
                     out["ids"].append(ids)
                 out["n_tokens"].append(ids.count(" ") + 1 if found else 0)

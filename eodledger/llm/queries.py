@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eodledger.llm import bpe, mixing, pii, quality_rules, secrets, simhash, topk
+from eodledger.llm import (
+    bpe,
+    mixing,
+    pii,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -52,6 +63,11 @@ def op4_bpe_cuts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), WORD_BPE)
 
 
+@query
+def op5_toxic_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -65,3 +81,13 @@ def op7_pii_boosted(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_bit_sliced_top(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
+
+
+@query
+def op9_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), WORD_BPE)
+
+
+@query
+def op10_indexed_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
