@@ -257,7 +257,7 @@ def drop_near_duplicates(
     A null key comes last. Of rows with equal key and fingerprint, the one with the smallest text
     hash stays, so repeated rows leave one. Columns are those of ``df``.
     """
-    mine, first = fresh(df, "__fp"), fresh(df, "__first")
+    mine, name, first = fresh(df, "__fp"), fresh(df, "__key"), fresh(df, "__first")
     kept = stored(
         per_text(df, text, tuple(df.columns), {mine: LongType()}, lambda: _renamed(mine)), "documents"
     )
@@ -265,15 +265,13 @@ def drop_near_duplicates(
         F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"))).alias("low")
     )
     reps = own.join(clusters(own.select("fp"), radius, tile), "fp")
-    best = (
-        reps.groupBy("root")
-        .agg(F.min(F.struct("low", "fp")).alias("best"))
-        .select(F.col("best.fp").alias("rep_fp"), F.col("best.low.k").alias("rep_key"))
-    )
-    chosen = kept.join(
-        best, (kept[mine] == best["rep_fp"]) & kept[key].eqNullSafe(best["rep_key"]), "left_semi"
-    )
-    order = Window.partitionBy(mine, key).orderBy(F.xxhash64(text), F.length(text).asc_nulls_first())
+    best = reps.groupBy("root").agg(F.min(F.struct("low", "fp")).alias("best"))
+    # Null has a name of its own, so that the join and the ranking behind it deal rows out alike:
+    # the texts are shuffled once.
+    named = lambda k: F.coalesce(F.concat(F.lit("="), k.cast("string")), F.lit(""))
+    best = best.select(F.col("best.fp").alias(mine), named(F.col("best.low.k")).alias(name))
+    chosen = kept.withColumn(name, named(F.col(key))).join(best, [mine, name], "left_semi")
+    order = Window.partitionBy(mine, name).orderBy(F.xxhash64(text), F.length(text).asc_nulls_first())
     return chosen.withColumn(first, F.row_number().over(order)).filter(F.col(first) == 1).select(*df.columns)
 
 
