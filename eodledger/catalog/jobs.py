@@ -137,10 +137,9 @@ def long_running(t):
 
 @registered(
     "long_running_summary",
-    f"""WITH r AS ({RUNNING_SQL}), n AS (SELECT greatest(1, ceil(count(*) / 1000)::BIGINT) AS n FROM r)
-        SELECT line, count(*) AS queries,
+    f"""SELECT date_trunc('hour', start_time) AS hour, count(*) AS queries,
           'Long-running queries cancelled: ' || string_agg(query_id || ', ', '' ORDER BY start_time DESC, query_id DESC) AS summary
-        FROM (SELECT r.*, ('0x' || left(md5(query_id), 8))::BIGINT % (SELECT n FROM n) AS line FROM r) GROUP BY line""",
+        FROM ({RUNNING_SQL}) GROUP BY 1""",
 )
 def long_running_summary(t):
     return jobs.long_running_summary(jobs.long_running(_history(t), NOW))

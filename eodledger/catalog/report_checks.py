@@ -244,7 +244,7 @@ def _parts(cfg: ReportConfig) -> dict[str, str]:
         ),
         "exchange_rates": f"""SELECT d AS dt_report, core_symbol, symbol, CASE WHEN core_symbol LIKE 'USD%' THEN right(symbol, 3)
             ELSE left(symbol, 3) END AS ac, close, contractsize, basecurrency, type
-          FROM (SELECT core_symbol, timereceived_server::DATE AS d, arg_max(close, timereceived_server) AS close
+          FROM (SELECT core_symbol, timereceived_server::DATE AS d, arg_max(close, {{'at': timereceived_server, 'price': close}}) AS close
                 FROM pricing_ohlc_minute
                 WHERE core_symbol <> 'XAU/USD' AND timereceived_server >= DATE '{cfg.day}' - {cfg.price_days} GROUP BY ALL)
           JOIN symbol_settings ON symbol = replace(core_symbol, '/', '') AND d BETWEEN start_date AND last_active""",
@@ -324,7 +324,7 @@ def _local(cfg: ReportConfig) -> str:
     lines += [
         f"coalesce(CASE WHEN a.type = 9 THEN wt.{m} ELSE t.{m} END, 0) AS {n}" for n, m in category.items()
     ]
-    return f"""SELECT {", ".join(lines)} FROM all_accounts a
+    return f"""SELECT DISTINCT {", ".join(lines)} FROM all_accounts a
       LEFT JOIN trade_volumes vo USING (server, login) LEFT JOIN order_counts o USING (server, login)
       LEFT JOIN open_order_counts oo USING (server, login) LEFT JOIN transactions t USING (server, login)
       LEFT JOIN lifetime_profit p USING (server, login)

@@ -156,7 +156,7 @@ def first_report(t, cfg):
 @_part("report_lc_b", "report_local", CONFIG_B)
 @_part("report_lc", "report_local")
 def report_lc(t, cfg):
-    return final.local_currency(final.report_parts(t, cfg), cfg)
+    return final.local_report(final.report_parts(t, cfg), cfg)
 
 
 @_part("report_usd_b", "report_usd", CONFIG_B)

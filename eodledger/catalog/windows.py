@@ -69,12 +69,12 @@ def filter_then_rank(t):
 
 @registered(
     "union_dedup",
-    """SELECT * FROM (FROM orders WHERE o_orderstatus = 'F' UNION ALL FROM orders WHERE o_orderstatus = 'O'
-          UNION ALL FROM orders WHERE o_orderstatus = 'P')
+    """SELECT * FROM (FROM orders WHERE o_orderstatus = 'F' UNION ALL FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F')
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
 )
 def union_dedup(t):
-    sets = [t.orders.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
+    filled = F.col("o_orderstatus").eqNullSafe(F.lit("F"))
+    sets = [t.orders.where(filled), t.orders.where(~filled)]
     return dedup.union_latest(sets, ["o_custkey"], "o_orderdate", ["o_orderkey"])
 
 

@@ -27,26 +27,23 @@ def not_in(
     probe_key: Column,
     listed: DataFrame,
     listed_key: Column,
-    null_listed: bool = True,
 ) -> DataFrame:
     """SQL ``NOT IN (subquery)`` with its NULL rules, without broadcasting the list.
 
     A NULL in the list empties the result, and a NULL probe is dropped unless the list
     is empty. Both facts are scalars; the rest is an equi anti join that can be shuffled
-    at any size. Say ``null_listed=False`` when the list cannot hold NULL: one row of it
-    then tells all that is needed.
+    at any size.
     """
     values = listed.select(listed_key.alias("__listed"))
-    counted = (values if null_listed else values.limit(1)).agg(
+    counted = values.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("__listed").isNull()).alias("n_null")
     )
     is_empty = counted.select(F.col("n") == 0).scalar()
     keyed = probe.withColumn("__probe", probe_key)
     allowed = keyed.where(F.col("__probe").isNotNull() | is_empty)
-    if null_listed:
-        allowed = allowed.where(counted.select(F.col("n_null") == 0).scalar())
+    allowed = allowed.where(counted.select(F.col("n_null") == 0).scalar())
     return allowed.join(
-        values.distinct(), F.col("__probe") == F.col("__listed"), "left_anti"
+        values, F.col("__probe") == F.col("__listed"), "left_anti"
     ).drop("__probe")
 
 

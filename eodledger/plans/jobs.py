@@ -159,18 +159,14 @@ def long_running(history: DataFrame, now: datetime) -> DataFrame:
     ).select("query_id", "start_time", "user_name")
 
 
-def long_running_summary(running: DataFrame, ids_per_line: int = 1000) -> DataFrame:
-    """The ids as text, newest first, each followed by a comma.
+def long_running_summary(running: DataFrame) -> DataFrame:
+    """For each hour of start the ids as text, newest first, each followed by a comma.
 
-    One line as long as they fit. More ids are dealt over lines by a digest of the id,
-    so that no task has to hold them all.
+    The lines depend on the rows alone, not on how many there are.
     """
-    lines = running.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / ids_per_line)).alias("n"))
-    digest = F.conv(F.left(F.md5(F.col("query_id").cast("binary")), F.lit(8)), 16, 10).cast("bigint")
-    dealt = running.withColumn("line", F.pmod(digest, lines.scalar()))
     entry = F.struct(F.col("start_time"), F.col("query_id"))
     ordered = F.sort_array(F.collect_list(entry), asc=False)
     ids = F.array_join(F.transform(ordered, lambda e: F.concat(e["query_id"], F.lit(", "))), "")
-    return dealt.groupBy("line").agg(
+    return running.groupBy(F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("hour")).agg(
         F.count(F.lit(1)).alias("queries"), F.concat(F.lit(SUMMARY_HEAD), ids).alias("summary")
     )

@@ -295,6 +295,11 @@ def local_currency(parts: Parts, cfg: ReportConfig) -> DataFrame:
     )
 
 
+def local_report(parts: Parts, cfg: ReportConfig) -> DataFrame:
+    """The distinct rows before conversion. The finished report ranks them, and needs no exchange for this."""
+    return local_currency(parts, cfg).distinct()
+
+
 def to_report(local: DataFrame, rates: DataFrame, cfg: ReportConfig) -> DataFrame:
     """The finished report, one row per account, user and currency.
 

@@ -90,7 +90,7 @@ def closed(tables: Tables, cfg: ReportConfig) -> DataFrame:
     )
     month = _trades(_month(tables["report_server_trades_closed"], cfg), cfg)
     day = rank_then_keep(month, TRADE_KEY, "modify_time", _within_day("close_time", cfg), TRADE_TIES)
-    return not_in(day, key, still_open, key, null_listed=False)
+    return not_in(day, key, still_open, key)
 
 
 def open_at_report(tables: Tables, cfg: ReportConfig) -> DataFrame:

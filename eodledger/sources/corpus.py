@@ -2,22 +2,61 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _passed_over(spark: SparkSession, root: str) -> list[str]:
+    """Files with a dot in their name that Spark's own listing leaves out.
+
+    These are empty files, and those with a name, or a folder below ``root``, that starts with a
+    dot or an underscore.
+    """
+    context = spark.sparkContext
+    top = context._jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(context._jsc.hadoopConfiguration())
+    base, found = files.makeQualified(top).toUri().getPath().rstrip("/") + "/", []
+    listed = files.listFiles(top, True)
+    while listed.hasNext():
+        status = listed.next()
+        uri = status.getPath().toUri()
+        parts = uri.getPath().removeprefix(base).split("/")
+        if "." in parts[-1] and (not status.getLen() or any(p[0] in "._" for p in parts)):
+            found.append(uri.toString())
+    return found
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            # Hadoop writes file:/x where others expect file:///x.
+            files, place = FileSystem.from_uri(path.replace("file:/", "file:///", 1) if not path.startswith("file://") else path)
+            with files.open_input_stream(place) as stream:
+                data = stream.read()
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([data], pa.binary())], names=["path", "content"])
+
+
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root`` whose name holds a dot and whose bytes are UTF-8.
 
-    Spark itself passes over empty files, in which nothing can be found, and over names
-    that start with a dot or an underscore.
+    Ordinary files are read by Spark. It passes over empty files and over names that start with a
+    dot or an underscore; those are listed apart, and their contents read in the executors.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.*")
         .load(root)
+        .where("length > 0")
+        .select("path", "content")
     )
+    if passed := _passed_over(spark, root):
+        paths = spark.createDataFrame([(p,) for p in passed], "path string")
+        files = files.unionByName(paths.mapInArrow(_contents, "path string, content binary"))
     return files.where(F.is_valid_utf8(F.col("content").cast("string"))).select(
         "path", F.col("content").cast("string").alias("text")
     )

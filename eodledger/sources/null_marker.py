@@ -22,7 +22,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     text = df.select([encode(F.col(c)).alias(c) for c in df.columns])
     text.write.mode("overwrite").options(
         header=True,
-        emptyValue="",
         escape='"',
         quote='"',
         ignoreLeadingWhiteSpace=False,
@@ -31,13 +30,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(
-    spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """All columns as strings.
 
     With ``names`` the header line is not consulted for the schema, which saves the
-    driver a read of the first file. ``multi_line`` allows line breaks inside quotes, at
-    the price of one task per file; without it such a row fails the load.
+    driver a read of the first file. Line breaks inside quotes are part of a field, for
+    which a file is read by one task. ``multi_line=False`` splits large files, where no
+    field has a line break; one that has fails the load.
     """
     reader = spark.read.options(
         header=True, inferSchema=False, multiLine=multi_line, escape='"', quote='"', mode="FAILFAST"

@@ -1,6 +1,7 @@
 """Reading and writing."""
 
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.errors import PySparkException
@@ -59,10 +60,19 @@ def test_null_marker_roundtrip(spark, tmp_path):
 def test_line_breaks_inside_quotes(spark, tmp_path):
     df = spark.createDataFrame([("a\nb", "c")], "a string, b string")
     null_marker.write_csv(df, str(tmp_path / "c"))
-    back = null_marker.read_csv(spark, str(tmp_path / "c"), multi_line=True)
+    back = null_marker.read_csv(spark, str(tmp_path / "c"))
     assert [tuple(r) for r in back.collect()] == [("a\nb", "c")]
+    assert tables.load_csv_strings(spark, str(tmp_path / "c")).count() == 1
     with pytest.raises(Exception, match="MALFORMED"):
-        null_marker.read_csv(spark, str(tmp_path / "c")).collect()
+        null_marker.read_csv(spark, str(tmp_path / "c"), multi_line=False).collect()
+
+
+def test_one_column_with_empty_strings_and_breaks(spark, tmp_path):
+    given = ["x", "", None, "y", "line1\nline2", "a\rb", "c\r\nd", ' "q" ', "\\"]
+    df = spark.createDataFrame([(v,) for v in given], "a string")
+    null_marker.write_csv(df, str(tmp_path / "c"))
+    back = [r["a"] for r in null_marker.read_csv(spark, str(tmp_path / "c")).collect()]
+    assert sorted(map(repr, back)) == sorted(map(repr, given))
 
 
 def test_append_by_day_can_run_again(spark, tmp_path):
@@ -107,8 +117,15 @@ def test_corpus(spark, tmp_path):
     (tmp_path / "README").write_text("closed_trades usd_pnl")
     (tmp_path / "empty.txt").write_text("")
     (tmp_path / "other.txt").write_text("closed_trades only, ünï")
+    (tmp_path / "__init__.py").write_text("a")
+    (tmp_path / ".hidden.sql").write_text("b c")
+    (tmp_path / "_private").mkdir()
+    (tmp_path / "_private" / "x y.txt").write_text("d")
+    (tmp_path / "_bad.bin").write_bytes(b"\xff\xfe")
     corpus = scan_corpus(spark, str(tmp_path))
-    assert sorted(os.path.basename(r["path"]) for r in corpus.collect()) == ["other.txt", "q.sql"]
+    names = sorted(unquote(os.path.basename(r["path"])) for r in corpus.collect())
+    assert names == [".hidden.sql", "__init__.py", "empty.txt", "other.txt", "q.sql", "x y.txt"]
+    assert {r["text"] for r in corpus.collect()} >= {"", "a", "b c", "d"}
     usage = Usage("Closed_Trades", ("USD_PNL", "missing"))
     found = name_usage(corpus, "text", [usage]).collect()
     assert [os.path.basename(r["path"]) for r in found] == ["q.sql"]
