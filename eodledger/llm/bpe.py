@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StringType
 from eodledger.llm.common import per_text
 
 #: Words and fragments that a Python worker remembers, each (words twice).
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 class Vocabulary:

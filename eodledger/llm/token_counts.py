@@ -29,11 +29,15 @@ KEY_IDS, BASE, NO_KEY = 5, 50000, 9
 BLOCK = 1 << 20
 
 
-def key_ids(key: int | None) -> bytes:
-    """The ids that hold a key; none is the separator."""
-    n = NO_KEY * BASE ** (KEY_IDS - 1) if key is None else key + (1 << 63)
-    digits = [n // BASE**k % BASE for k in reversed(range(KEY_IDS))]
-    return b"".join([d.to_bytes(2, "big") for d in digits])
+def key_ids(key: Column) -> Column:
+    """The bytes of the ids that hold a key; none is the separator."""
+    n = key.cast("decimal(38,0)") + F.lit(str(1 << 63)).cast("decimal(38,0)")
+    rest, digits = F.call_function("div", n, F.lit(BASE).cast("decimal(38,0)")), [(n % BASE).cast("long")]
+    for _ in range(KEY_IDS - 1):
+        digits.insert(0, rest % BASE)
+        rest = F.call_function("div", rest, F.lit(BASE).cast("long"))
+    none = F.lit(f"{NO_KEY:04X}" + "0000" * (KEY_IDS - 1))
+    return F.unhex(F.coalesce(F.concat(*[F.lpad(F.hex(d), 4, "0") for d in digits]), none))
 
 
 def key_of(ids: Column) -> Column:
@@ -54,8 +58,7 @@ def write_tokens(df: DataFrame, folder: str, vocabulary: str, key: str = "doc_id
         return lambda texts: {"ids": [b"".join([f[2] for f in encoder.look_up(encoder.words(t or ""))]) for t in texts]}
 
     rows = per_text(df, text, (key,), {"ids": BinaryType()}, work)
-    head = F.udf(key_ids, BinaryType(), useArrow=True)(F.col(key).cast("long"))
-    line = F.concat(head, "ids").cast("string").alias("value")
+    line = F.concat(key_ids(F.col(key).cast("long")), "ids").cast("string").alias("value")
     rows.select(line).write.option("lineSep", MARK).option("maxRecordsPerFile", most).text(folder)
 
 
