@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from eodledger.catalog.inputs import CONFIG_A, Derived
 from eodledger.catalog.registry import registered
 from eodledger.catalog.report_checks import check
 from eodledger.plans.report.final import equity_report, output_columns
-from eodledger.session import scratch_path
+from eodledger.session import scratch_path, stored_stage
 from eodledger.sources import null_marker
 from eodledger.sources.corpus import scan_corpus
 from eodledger.sources.tables import (
+    append_by_position,
     append_path,
     as_strings,
     full_refresh_path,
@@ -102,12 +105,23 @@ def corpus_scan(t):
 
 @registered(
     "report_append",
-    check(CONFIG_A, "(SELECT login, trading_server, currency, equity_change, lifetime_equity_change_usd FROM report_usd)"),
+    check(CONFIG_A, "report_usd"),
 )
 def report_append(t):
     """The report appended as a day's partition, and that day read back."""
     path = scratch_path(t.spark, "report")
-    report = equity_report(Derived(t), CONFIG_A)
+    report = equity_report(Derived(t), CONFIG_A, stored_stage(t.spark))
     append_path(report, path, output_columns(CONFIG_A), ["year", "month", "day"])
-    day = t.spark.read.parquet(path).where("year = 2024 and month = 1 and day = 16")
-    return day.select("login", "trading_server", "currency", "equity_change", "lifetime_equity_change_usd")
+    saved = t.spark.read.schema(report.schema).parquet(path)
+    return saved.where("year = '2024' and month = '01' and day = '16'").select(*output_columns(CONFIG_A))
+
+
+@registered("report_append_by_position", check(CONFIG_A, "report_usd"))
+def report_append_by_position(t):
+    """The report inserted by position into a table of the catalog, and its files read back."""
+    path, name = scratch_path(t.spark, "report_table"), f"report_{uuid.uuid4().hex}"
+    report = equity_report(Derived(t), CONFIG_A, stored_stage(t.spark))
+    t.spark.catalog.createTable(name, path=path, source="parquet", schema=report.schema)
+    append_by_position(report, name, output_columns(CONFIG_A))
+    t.spark.sql(f"DROP TABLE {name}")
+    return t.spark.read.schema(report.schema).parquet(path)

@@ -152,7 +152,7 @@ def like_template_join(t):
 @registered("like_template_join_by_token", LIKE_SQL)
 def like_template_join_by_token(t):
     parts = t.part.select("p_partkey", "p_name")
-    return joins.like_template_join(parts, "p_name", _templates(t), "pattern", inline_up_to=0)
+    return joins.like_template_join(parts, "p_name", _templates(t), "pattern")
 
 
 @registered(

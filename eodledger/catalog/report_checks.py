@@ -308,6 +308,7 @@ def _local(cfg: ReportConfig) -> str:
         "coalesce(a.positive_equity, 0) - coalesce(f.positive_equity, 0) - coalesce(p.profit_sum, 0) "
         "AS lifetime_equity_change_lc",
         "coalesce(f.positive_equity, 0) AS ta_open_positive_equity",
+        "coalesce(p.profit_sum, 0) AS profit_sum",
     ]
     lines += [f"a.{c}" for c in ("login", "is_ib", '"group"', "user_id", "agent", "country", "comment")]
     lines += [f"a.{c}" for c in ("member_sales_code", "member_lead_source", "ta_lead_source")]
@@ -338,7 +339,7 @@ def _local(cfg: ReportConfig) -> str:
 
 def _usd(cfg: ReportConfig) -> str:
     """Every rate day is joined here, and the newest kept afterwards."""
-    return """SELECT * EXCLUDE (lifetime_equity_change_lc, ta_open_positive_equity, fx_day, pair, fx),
+    return """SELECT * EXCLUDE (lifetime_equity_change_lc, ta_open_positive_equity, profit_sum, fx_day, pair, fx),
         round(CASE WHEN currency = 'USD' THEN lifetime_equity_change_lc
           WHEN left(pair, 3) = currency THEN lifetime_equity_change_lc * fx
           WHEN right(pair, 3) = currency THEN lifetime_equity_change_lc / fx ELSE 0 END, 2)

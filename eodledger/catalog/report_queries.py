@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from eodledger.catalog.inputs import CONFIG_A, CONFIG_B, Derived
 from eodledger.catalog.registry import registered
 from eodledger.catalog.report_checks import check
 from eodledger.config import ReportConfig
 from eodledger.plans.report import accounts, exchange, final, money, trades
+from eodledger.session import stored_stage
 
 Inputs = Mapping[str, DataFrame]
 
@@ -156,10 +157,10 @@ def first_report(t, cfg):
 @_part("report_lc_b", "report_local", CONFIG_B)
 @_part("report_lc", "report_local")
 def report_lc(t, cfg):
-    return final.local_report(final.report_parts(t, cfg), cfg)
+    return final.local_report(final.report_parts(t, cfg, stored_stage(SparkSession.active())), cfg)
 
 
 @_part("report_usd_b", "report_usd", CONFIG_B)
 @_part("report_usd", "report_usd")
 def report_usd(t, cfg):
-    return final.equity_report(t, cfg)
+    return final.equity_report(t, cfg, stored_stage(SparkSession.active()))

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
-from eodledger.functions.texts import NO_ESCAPE, like_ignore_case
+from eodledger.functions.texts import like_ignore_case
 
 GRAM = 3
-INLINE_TEMPLATES = 500
 
 
 def cast_key_join(
@@ -87,10 +85,9 @@ def semi_on(df: DataFrame, listed: DataFrame, names: Sequence[str]) -> DataFrame
 
 
 def _pieces(text: Column, n: int) -> Column:
-    """All n-character pieces of a text, as tokens."""
-    starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-    cut = F.transform(starts, lambda i: F.concat(F.lit("g:"), F.substring(text, i, F.lit(n))))
-    return F.when(F.length(text) >= n, cut).otherwise(F.array().cast("array<string>"))
+    """All n-character pieces of a text, as tokens, in one pass over it."""
+    cut = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    return F.transform(cut, lambda piece: F.concat(F.lit("g:"), piece))
 
 
 def _text_tokens(text: Column) -> Column:
@@ -120,16 +117,17 @@ def _pattern_tokens(pattern: Column) -> Column:
     )
 
 
-def _match_by_token(texts: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
-    """Distinct (text, pattern) matches through an equi join on a shared token.
+def _template_matches(df: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """The (text, pattern) matches of the distinct texts, through an equi join on a shared token.
 
     A pattern is looked up by the one of its tokens that the fewest patterns share, so
-    that patterns with a common beginning do not all meet the same texts.
+    that patterns with a common beginning do not all meet the same texts. Tokens travel
+    with a hash of their text instead of the text; every candidate is tested on the text
+    itself, so texts with equal hashes only cost a test.
     """
-    lowered = texts.select(F.col(text).alias("__text")).distinct()
-    tokens = lowered.where(F.col("__text").isNotNull()).withColumn(
-        "__token", F.explode(_text_tokens(F.lower("__text")))
-    )
+    known = df.select(F.col(text).alias("__text")).where(F.col("__text").isNotNull()).distinct()
+    known = known.withColumn("__id", F.xxhash64("__text"))
+    tokens = known.select("__id", F.explode(_text_tokens(F.lower("__text"))).alias("__token"))
     offered = (
         patterns.select(F.col(pattern).alias("__pattern"))
         .distinct()
@@ -141,55 +139,27 @@ def _match_by_token(texts: DataFrame, text: str, patterns: DataFrame, pattern: s
         .groupBy("__pattern")
         .agg(F.min_by("__token", F.struct("__sharers", "__token")).alias("__token"))
     )
+    candidates = tokens.join(wanted, "__token").select("__id", "__pattern").distinct()
     return (
-        tokens.join(wanted, "__token")
+        known.join(candidates, "__id")
         .where(like_ignore_case(F.col("__text"), F.col("__pattern")))
         .select("__text", "__pattern")
     )
 
 
-def like_template_join(
-    df: DataFrame, text: str, templates: DataFrame, pattern: str, inline_up_to: int = INLINE_TEMPLATES
-) -> DataFrame:
+def like_template_join(df: DataFrame, text: str, templates: DataFrame, pattern: str) -> DataFrame:
     """Left join where the right side holds LIKE patterns, ignoring case.
 
-    A text that matches several templates yields one row for each. Up to
-    ``inline_up_to`` templates become literals of a row expression: every pattern is
-    compiled once and no rows move. More templates meet the distinct texts on a shared
-    token, only those pairs are tested, and the matches are joined back by equality.
+    A text that matches several templates yields one row for each. Each distinct text is
+    matched once, by the same plan for any number of templates, and the matches are
+    joined back by equality.
     """
-    known = templates.take(inline_up_to + 1)
-    if len(known) <= inline_up_to:
-        return _match_inline(df, text, templates, pattern, known)
-    matches = _match_by_token(df, text, templates, pattern).join(
+    matches = _template_matches(df, text, templates, pattern).join(
         templates, F.col("__pattern") == F.col(pattern), "inner"
     )
     return df.join(matches, F.col(text) == F.col("__text"), "left").drop("__text", "__pattern")
 
 
-def _match_inline(
-    df: DataFrame, text: str, templates: DataFrame, pattern: str, known: Sequence[Row]
-) -> DataFrame:
-    def literal(row: Row) -> Column:
-        typed = [F.lit(row[f.name]).cast(f.dataType) for f in templates.schema]
-        return F.struct(*[value.alias(f.name) for value, f in zip(typed, templates.schema)])
-
-    kinds = {f.name: f.dataType for f in templates.schema}
-    usable = [row for row in known if row[pattern] is not None]
-    if not usable:
-        return df.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()])
-    none = F.array().cast(ArrayType(templates.schema))
-    hits = [
-        F.when(
-            F.like(F.col("__lowered"), F.lower(F.lit(row[pattern])), F.lit(NO_ESCAPE)), F.array(literal(row))
-        ).otherwise(none)
-        for row in usable
-    ]
-    lowered = df.withColumn("__lowered", F.lower(text))
-    matched = lowered.select(*df.columns, F.explode_outer(F.concat(*hits)).alias("__hit"))
-    return matched.select(*df.columns, "__hit.*")
-
-
 def rate_pivot(
     df: DataFrame,
     id_column: str,

@@ -27,6 +27,7 @@ DEAL_COLUMNS = ("deal", "time", "timeMsc", "login", "server")
 # Names after INSERT INTO, and after FROM or JOIN.
 TARGET_NAME = r"(?i)\binsert\s+into\s+(?:table\s+)?([\w.]+)"
 SOURCE_NAME = r"(?i)\b(?:from|join)\s+([\w.]+)"
+STATEMENT_START = r"(?i);|(?=\binsert\s+into\b)"
 
 
 def keyed_extract(
@@ -134,22 +135,36 @@ def usage_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("used").agg(F.count(F.lit(1)).alias("texts"))
 
 
-def lineage_edges(statements: DataFrame, text: str) -> DataFrame:
-    """Distinct (target, source) tables of INSERT … SELECT statements, with statement counts.
+def statement_edges(statements: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
+    """The keys of a text, the number of a statement in it, and each target and source of that statement.
 
+    A statement begins at INSERT INTO and ends at a semicolon or at the next INSERT INTO.
     Names are taken from the text by pattern: quoted identifiers are not recognised, and
     names of common table expressions or in comments count as sources.
     """
-    target = F.regexp_extract(text, TARGET_NAME, 1)
-    sources = F.array_distinct(F.regexp_extract_all(text, F.lit(SOURCE_NAME), F.lit(1)))
+    one = F.col("__statement")
+    sources = F.regexp_extract_all(F.lower(one), F.lit(SOURCE_NAME), F.lit(1))
     return (
-        statements.select(F.lower(target).alias("target"), F.explode(sources).alias("source"))
-        .where(F.col("target") != "")
-        .groupBy("target", F.lower("source").alias("source"))
-        .agg(F.count(F.lit(1)).alias("statements"))
+        statements.select(*keys, F.posexplode(F.filter(F.split(text, STATEMENT_START), is_insert)).alias("statement", "__statement"))
+        .select(
+            *keys,
+            "statement",
+            F.lower(F.regexp_extract(one, TARGET_NAME, 1)).alias("target"),
+            F.explode(F.array_distinct(sources)).alias("source"),
+        )
     )
 
 
+def is_insert(statement: Column) -> Column:
+    return F.rlike(statement, F.lit(TARGET_NAME))
+
+
+def lineage_edges(statements: DataFrame, text: str) -> DataFrame:
+    """Distinct (target, source) tables of INSERT … SELECT statements, with statement counts."""
+    found = statement_edges(statements, text, ())
+    return found.groupBy("target", "source").agg(F.count(F.lit(1)).alias("statements"))
+
+
 def long_running(history: DataFrame, now: datetime) -> DataFrame:
     """Queries still running that started more than an hour before ``now``."""
     return history.where(

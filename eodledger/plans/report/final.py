@@ -13,6 +13,7 @@ from eodledger.functions import amounts, texts
 from eodledger.functions.times import ntz, to_report_tz
 from eodledger.operators.dedup import first_per_key, latest_per_key
 from eodledger.plans.report import accounts, exchange, money, trades
+from eodledger.session import stored_stage
 from eodledger.sources.tables import Warehouse, append_by_position
 
 Tables = Mapping[str, DataFrame]
@@ -141,8 +142,10 @@ def report_parts(tables: Tables, cfg: ReportConfig, stage: Stage = _as_is) -> Pa
         volumes=trades.trade_volumes(closed, trades.symbol_groups(tables), cfg),
         orders=trades.order_counts(trades.opened(tables, cfg), closed, trades.pending(tables, cfg)),
         open_orders=trades.open_order_counts(trades.open_at_report(tables, cfg)),
-        transactions=money.transactions(tables, money.day_transactions(tables, cfg)),
-        wallets=money.wallet_transactions(tables, cfg, money.wallet_rows(tables, cfg, known_users)),
+        transactions=money.transactions(tables, stage("day_transactions", money.day_transactions(tables, cfg))),
+        wallets=money.wallet_transactions(
+            tables, cfg, stage("wallet_rows", money.wallet_rows(tables, cfg, known_users))
+        ),
         wallet_balances=accounts.wallet_balances(tables, cfg),
         partners=accounts.partner_names(tables, cfg),
         profits=trades.lifetime_profit(tables, cfg),
@@ -292,6 +295,7 @@ def local_currency(parts: Parts, cfg: ReportConfig) -> DataFrame:
     return rows.select(
         *[columns.get(c, F.col(c)).alias(c) for c in (*wanted, "lifetime_equity_change_lc")],
         zero(F.col("f_positive_equity")).alias("ta_open_positive_equity"),
+        zero(F.col("p_profit_sum")).alias("profit_sum"),
     )
 
 
@@ -319,11 +323,13 @@ def to_report(local: DataFrame, rates: DataFrame, cfg: ReportConfig) -> DataFram
             F.col("lifetime_equity_change_lc"), F.col("currency"), F.col("pair"), F.col("rate")
         ),
     )
+    # Rows equal in all of these are told apart by a hash of the whole row, which is narrower to sort than its columns.
+    ties = ["positive_equity", "equity_change", "last_balance", "cimb_cfd", "member_account_type", "trade_cost"]
     one = latest_per_key(
-        converted,
+        converted.withColumn("__row", F.xxhash64(*output_columns(cfg))),
         ["dt_report", "user_id", "login", "trading_server", "currency"],
         "ta_open_positive_equity",
-        ["positive_equity", "equity_change", "last_balance", "cimb_cfd", "member_account_type", "trade_cost"],
+        [*ties, "__row"],
     )
     return one.select(*output_columns(cfg))
 
@@ -339,10 +345,14 @@ def load_inputs(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFram
 
 
 def run_daily_report(
-    spark: SparkSession, warehouse: Warehouse, cfg: ReportConfig, stage: Stage = _as_is
+    spark: SparkSession, warehouse: Warehouse, cfg: ReportConfig, stage: Stage | None = None
 ) -> None:
-    """Read the warehouse, compute the report and append it to the report table."""
-    report = equity_report(load_inputs(spark, warehouse), cfg, stage)
+    """Read the warehouse, compute the report and append it to the report table.
+
+    Frames that several parts share are written once below the shared folder, unless
+    another ``stage`` is given.
+    """
+    report = equity_report(load_inputs(spark, warehouse), cfg, stage or stored_stage(spark))
     append_report(report, warehouse.reporting_name(REPORT_TABLE), cfg)
 
 

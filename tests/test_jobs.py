@@ -55,6 +55,20 @@ def test_lineage(rows):
     assert found == [("a", "b", 2), ("a", "c", 1), ("analytics.sales_summary", "staging.sales_data", 1)]
 
 
+def test_lineage_of_several_statements_in_a_text(rows):
+    texts = rows(
+        [
+            (1, "select 1 from x; insert into a select * from b; INSERT INTO c select * from a join A on 1 = 1"),
+            (2, "insert into d select * from e\ninsert into f select * from g; select 1 from h"),
+            (3, None),
+            (4, "insert into k values (1)"),
+        ],
+        "id int, s string",
+    )
+    found = [tuple(r) for r in jobs.statement_edges(texts, "s", ["id"]).collect()]
+    assert sorted(found) == [(1, 0, "a", "b"), (1, 1, "c", "a"), (2, 0, "d", "e"), (2, 1, "f", "g")]
+
+
 def test_adjusted_deals(rows):
     adjustments = rows([("T1",), ("T1",), ("T2",), ("T9",)], "crm_transaction_no string")
     crm = rows(

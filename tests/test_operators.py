@@ -136,7 +136,7 @@ def _like(pattern, text):
     return re.fullmatch(body, text.lower(), re.S) is not None
 
 
-def test_like_templates_both_ways(spark, rows):
+def test_like_templates(spark, rows):
     rng = random.Random(7)
     texts_ = ["", "A", "line\nbreak", "back\\slash", "Deposit 12", None] + [
         "".join(rng.choice("abC% _\\") for _ in range(rng.randint(0, 9))) for _ in range(150)
@@ -150,12 +150,19 @@ def test_like_templates_both_ways(spark, rows):
     for i, text in enumerate(texts_):
         hits = [j for j, p in enumerate(patterns) if p is not None and text is not None and _like(p, text)]
         expected += [(i, j) for j in hits] or [(i, None)]
-    inline = joins.like_template_join(df, "text", templates, "pattern")
-    by_token = joins.like_template_join(df, "text", templates, "pattern", inline_up_to=5)
-    assert values(inline, "i", "j") == sorted(expected, key=str)
-    assert values(by_token, "i", "j") == sorted(expected, key=str)
-    for plan in (plan_of(inline), plan_of(by_token)):
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    found = joins.like_template_join(df, "text", templates, "pattern")
+    assert values(found, "i", "j") == sorted(expected, key=str)
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+
+
+def test_like_templates_on_long_and_wide_characters(rows):
+    """Twenty thousand words, and characters outside the basic plane, end within seconds."""
+    long = " ".join(f"w{i}" for i in range(20_000)) + " \U0001f600 tail"
+    df = rows([(0, long), (1, "\U0001f600\U0001f601x"), (2, "\U0001f600")], "i int, text string")
+    patterns = ["%w19999 %", "%\U0001f600 TAIL", "\U0001f600_x", "\U0001f600%", "_", "%nowhere%"]
+    templates = rows([(p, j) for j, p in enumerate(patterns)], "pattern string, j int")
+    found = joins.like_template_join(df, "text", templates, "pattern")
+    assert values(found, "i", "j") == [(0, 0), (0, 1), (1, 2), (1, 3), (2, 3), (2, 4)]
 
 
 def test_template_join_multiplies_rows(rows):
