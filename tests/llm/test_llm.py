@@ -202,6 +202,16 @@ def test_pii(spark):
     assert np.mean((model.probability(x.tolist()) >= 0.5) == y) > 0.9
 
 
+def test_sample_of_texts_is_the_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+
+    plain = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("n "), F.col("id") % 700).alias("text"))
+    copies = spark.range(3000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("n 7").alias("text"))
+    df = plain.union(copies)
+    rows = df.distinct().orderBy(F.xxhash64("doc_id", "text")).limit(50).collect()
+    assert pii.sample_texts(df, "doc_id", "text", 50) == [r["text"] for r in rows]
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(1)
     v = rng.normal(size=(400, 16)) / 4
