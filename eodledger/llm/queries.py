@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eodledger.llm import (
     bpe,
+    checks,
     mixing,
     pii,
     quality_model,
@@ -91,3 +92,10 @@ def op9_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_indexed_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+CHECKS |= {
+    "op1_pfair_mix": checks.mix(WEIGHTS),
+    "op2_quality_votes": checks.quality(),
+    "op8_bit_sliced_top": checks.TOP_K,
+}
