@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 
 from eodledger.catalog.registry import registered
 from eodledger.plans import jobs
-from eodledger.plans.jobs import Usage
+from eodledger.plans.jobs import Usage, usage_frame
 
 USAGES = (Usage("Then", ("the ", "and")), Usage("eaux", ("MENT", "zzzz")), Usage("hand", ("nowhere",)))
 
 
+def _usage(t, raw=False):
+    texts = t.documents.select("doc_id", "text")
+    return jobs.name_usage(texts, "text", usage_frame(texts.sparkSession, USAGES), raw)
+
+
 @registered(
     "name_usage",
     """SELECT doc_id, used FROM documents, LATERAL (SELECT unnest([
@@ -22,7 +27,7 @@ USAGES = (Usage("Then", ("the ", "and")), Usage("eaux", ("MENT", "zzzz")), Usage
         WHERE used IS NOT NULL""",
 )
 def name_usage(t):
-    return jobs.name_usage(t.documents.select("doc_id", "text"), "text", USAGES)
+    return _usage(t)
 
 
 @registered(
@@ -34,7 +39,7 @@ def name_usage(t):
         WHERE used IS NOT NULL""",
 )
 def name_usage_raw(t):
-    return jobs.name_usage(t.documents.select("doc_id", "text"), "text", USAGES, raw=True)
+    return _usage(t, raw=True)
 
 
 @registered(
@@ -48,7 +53,7 @@ def name_usage_raw(t):
         WHERE used IS NOT NULL GROUP BY used""",
 )
 def name_usage_counts(t):
-    return jobs.usage_counts(jobs.name_usage(t.documents.select("doc_id", "text"), "text", USAGES))
+    return jobs.usage_counts(_usage(t))
 
 
 @registered(

@@ -90,6 +90,30 @@ def _pieces(text: Column, n: int) -> Column:
     return F.transform(cut, lambda piece: F.concat(F.lit("g:"), piece))
 
 
+def text_pieces(text: Column) -> Column:
+    """The distinct pieces of a text of up to GRAM characters, and the empty one."""
+    return F.array_distinct(F.concat(F.array(F.lit("g:")), *[_pieces(text, n) for n in range(1, GRAM + 1)]))
+
+
+def rarest_pieces(names: DataFrame, name: str) -> DataFrame:
+    """Each distinct name with the ``__token`` of its that the fewest names share.
+
+    Every text that contains the name has that token among its ``text_pieces``.
+    """
+    whole = F.array(F.concat(F.lit("g:"), F.col(name)))
+    cut = F.when(F.length(name) < GRAM, whole).otherwise(F.array_distinct(_pieces(F.col(name), GRAM)))
+    return _rarest(names.withColumn("__token", F.explode(cut)), name)
+
+
+def _rarest(offered: DataFrame, name: str) -> DataFrame:
+    shared = offered.groupBy("__token").agg(F.count(F.lit(1)).alias("__sharers"))
+    return (
+        offered.join(shared, "__token")
+        .groupBy(name)
+        .agg(F.min_by("__token", F.struct("__sharers", "__token")).alias("__token"))
+    )
+
+
 def _text_tokens(text: Column) -> Column:
     """All tokens of a text: its pieces of up to GRAM characters and its length tests."""
     size = F.length(text)
@@ -133,12 +157,7 @@ def _template_matches(df: DataFrame, text: str, patterns: DataFrame, pattern: st
         .distinct()
         .withColumn("__token", F.explode(_pattern_tokens(F.lower("__pattern"))))
     )
-    shared = offered.groupBy("__token").agg(F.count(F.lit(1)).alias("__sharers"))
-    wanted = (
-        offered.join(shared, "__token")
-        .groupBy("__pattern")
-        .agg(F.min_by("__token", F.struct("__sharers", "__token")).alias("__token"))
-    )
+    wanted = _rarest(offered, "__pattern")
     candidates = tokens.join(wanted, "__token").select("__id", "__pattern").distinct()
     return (
         known.join(candidates, "__id")

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodledger.functions.times import ntz
-from eodledger.operators.joins import semi_on
+from eodledger.operators.joins import rarest_pieces, semi_on, text_pieces
 from eodledger.sources.operational import TRANSACTION_COLUMNS
 from eodledger.sources.tables import as_strings, full_refresh, preview
 
@@ -107,28 +106,42 @@ class Usage:
     table: str
     columns: tuple[str, ...] = ()
 
-    @property
-    def label(self) -> str:
-        return self.table
 
-    def found_in(self, lowered: Column) -> Column:
-        """The table name and any of the column names, ignoring case."""
-        if not self.columns:
-            return F.lit(False)
-        named = [F.contains(lowered, F.lit(c.lower())) for c in self.columns]
-        return F.contains(lowered, F.lit(self.table.lower())) & reduce(lambda a, b: a | b, named)
+def usage_frame(spark: SparkSession, usages: Sequence[Usage]) -> DataFrame:
+    """``table, columns`` of listed usages, for ``name_usage``."""
+    return spark.createDataFrame([(u.table, list(u.columns)) for u in usages], "table string, columns array<string>")
 
-    def found_raw(self, lowered: Column) -> Column:
-        """The table name as written: one with capitals is never found in lowered text."""
-        return F.contains(lowered, F.lit(self.table))
 
+def name_usage(corpus: DataFrame, text: str, usages: DataFrame, raw: bool = False) -> DataFrame:
+    """One row per text and usage found, for any number of ``usages (table, columns)``.
 
-def name_usage(corpus: DataFrame, text: str, usages: Sequence[Usage], raw: bool = False) -> DataFrame:
-    """One row per text and usage found; each text is lowered once and read in one pass."""
-    lowered = corpus.withColumn("__lowered", F.lower(text)).drop(text)
-    column = F.col("__lowered")
-    tests = [F.when(u.found_raw(column) if raw else u.found_in(column), F.lit(u.label)) for u in usages]
-    return lowered.withColumn("used", F.explode(F.array_compact(F.array(*tests)))).drop("__lowered")
+    A usage is found where the lowered text holds the lowered table name and any of the lowered
+    column names; ``raw`` looks for the table name as written, so one with capitals is never found.
+    Null texts hold nothing.
+
+    Each name is looked up by the one of its pieces that the fewest names share. Texts meet those
+    pieces in an equi join, and each name that shares one is tested on the text itself. Pieces
+    travel with a digest of the text; only the text's own row carries it.
+    """
+    row_id, lowered = F.md5(F.lower(text)), F.lower(text)
+    tables = usages.select(
+        F.col("table").alias("used"),
+        (F.col("table") if raw else F.lower("table")).alias("__table"),
+        F.transform("columns", F.lower).alias("__columns"),
+    )
+    named = F.array("__table") if raw else F.concat(F.array("__table"), F.coalesce("__columns", F.array().cast("array<string>")))
+    names = tables.select(F.explode(named).alias("__name")).where(F.col("__name").isNotNull()).distinct()
+    wanted = rarest_pieces(names, "__name")
+    pieces = corpus.select(row_id.alias("__id"), F.explode(text_pieces(lowered)).alias("__token"))
+    candidates = pieces.join(wanted, "__token").groupBy("__id").agg(F.collect_set("__name").alias("__names"))
+    texts = corpus.withColumns({"__lowered": lowered, "__id": row_id}).drop(text)
+    held = texts.join(candidates, "__id").withColumn(
+        "__names", F.filter("__names", lambda name: F.contains(F.col("__lowered"), name))
+    )
+    found = held.drop("__lowered", "__id").withColumn("__table", F.explode("__names")).join(tables, "__table")
+    if not raw:
+        found = found.where(F.arrays_overlap("__names", "__columns"))
+    return found.drop("__table", "__names", "__columns")
 
 
 def usage_counts(found: DataFrame) -> DataFrame:

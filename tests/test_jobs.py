@@ -117,3 +117,21 @@ def test_jobs_save_tables(spark, rows):
     assert jobs.adjust_transactions(file, crm, trades, deals, "default", "x").count() == 1
     assert dict(spark.table("default.adj_transactions_x").dtypes)["amount"] == "string"
     assert spark.table("default.crm_transaction_adj_x").count() == 1
+
+
+def test_name_usage_of_thousands_of_specs(spark, rows):
+    texts = [(i, f"select Col_{i} from Table_{i}, t\nwhere x_{i % 7} = 1" if i % 10 else None) for i in range(300)]
+    texts += [(300, ""), (301, "a"), (1, texts[1][1]), (302, "table_9 " * 20_000 + "col_9")]
+    specs = [(f"Table_{i}", [f"COL_{i}", "nowhere"]) for i in range(5000)] + [("t", ["x_3"]), ("Table_1", ["x_1"]), ("", ["a"]), ("t", None), (None, ["a"])]
+    corpus = rows(texts, "id int, body string")
+    usages = rows(specs, "table string, columns array<string>")
+    want = Counter(
+        (i, table)
+        for i, body in texts
+        if body is not None
+        for table, columns in specs
+        if table is not None and columns and table.lower() in body.lower() and any(c.lower() in body.lower() for c in columns)
+    )
+    assert Counter((r["id"], r["used"]) for r in jobs.name_usage(corpus, "body", usages).collect()) == want
+    raw = Counter((i, t) for i, body in texts if body is not None for t, _ in specs if t is not None and t in body.lower())
+    assert Counter((r["id"], r["used"]) for r in jobs.name_usage(corpus, "body", usages, raw=True).collect()) == raw

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from eodledger.plans.jobs import Usage, name_usage
+from eodledger.plans.jobs import Usage, name_usage, usage_frame
 from eodledger.session import scratch_path, shared_folder
 from eodledger.sources import null_marker, operational, shards, tables
 from eodledger.sources.corpus import scan_corpus
@@ -127,11 +127,11 @@ def test_corpus(spark, tmp_path):
     assert names == [".hidden.sql", "__init__.py", "empty.txt", "other.txt", "q.sql", "x y.txt"]
     assert {r["text"] for r in corpus.collect()} >= {"", "a", "b c", "d"}
     usage = Usage("Closed_Trades", ("USD_PNL", "missing"))
-    found = name_usage(corpus, "text", [usage]).collect()
+    found = name_usage(corpus, "text", usage_frame(spark, [usage])).collect()
     assert [os.path.basename(r["path"]) for r in found] == ["q.sql"]
-    assert name_usage(corpus, "text", [usage], raw=True).count() == 0
-    assert name_usage(corpus, "text", [Usage("closed_trades")], raw=True).count() == 2
-    assert name_usage(corpus, "text", [Usage("closed_trades")]).count() == 0
+    assert name_usage(corpus, "text", usage_frame(spark, [usage]), raw=True).count() == 0
+    assert name_usage(corpus, "text", usage_frame(spark, [Usage("closed_trades")]), raw=True).count() == 2
+    assert name_usage(corpus, "text", usage_frame(spark, [Usage("closed_trades")])).count() == 0
 
 
 def test_shards(spark, tmp_path):
