@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eodledger.functions.times import ntz
-from eodledger.operators.joins import rarest_pieces, semi_on, text_pieces
+from eodledger.operators.joins import semi_on
 from eodledger.sources.operational import TRANSACTION_COLUMNS
 from eodledger.sources.tables import as_strings, full_refresh, preview
 
@@ -119,11 +119,9 @@ def name_usage(corpus: DataFrame, text: str, usages: DataFrame, raw: bool = Fals
     column names; ``raw`` looks for the table name as written, so one with capitals is never found.
     Null texts hold nothing.
 
-    Each name is looked up by the one of its pieces that the fewest names share. Texts meet those
-    pieces in an equi join, and each name that shares one is tested on the text itself. Pieces
-    travel with a digest of the text; only the text's own row carries it.
+    The names are a stated list, which each task holds whole; each text is lowered once and read
+    where it lies, without an exchange. Only the names found in it meet the usages, in a join.
     """
-    row_id, lowered = F.md5(F.lower(text)), F.lower(text)
     tables = usages.select(
         F.col("table").alias("used"),
         (F.col("table") if raw else F.lower("table")).alias("__table"),
@@ -131,14 +129,12 @@ def name_usage(corpus: DataFrame, text: str, usages: DataFrame, raw: bool = Fals
     )
     named = F.array("__table") if raw else F.concat(F.array("__table"), F.coalesce("__columns", F.array().cast("array<string>")))
     names = tables.select(F.explode(named).alias("__name")).where(F.col("__name").isNotNull()).distinct()
-    wanted = rarest_pieces(names, "__name")
-    pieces = corpus.select(row_id.alias("__id"), F.explode(text_pieces(lowered)).alias("__token"))
-    candidates = pieces.join(wanted, "__token").groupBy("__id").agg(F.collect_set("__name").alias("__names"))
-    texts = corpus.withColumns({"__lowered": lowered, "__id": row_id}).drop(text)
-    held = texts.join(candidates, "__id").withColumn(
-        "__names", F.filter("__names", lambda name: F.contains(F.col("__lowered"), name))
+    listed = corpus.withColumn("__all", names.agg(F.collect_set("__name")).scalar())
+    within = F.transform(
+        F.array(F.lower(text)), lambda lowered: F.filter("__all", lambda name: F.contains(lowered, name))
     )
-    found = held.drop("__lowered", "__id").withColumn("__table", F.explode("__names")).join(tables, "__table")
+    held = listed.withColumn("__names", within[0]).drop(text, "__all")
+    found = held.withColumn("__table", F.explode("__names")).join(tables, "__table")
     if not raw:
         found = found.where(F.arrays_overlap("__names", "__columns"))
     return found.drop("__table", "__names", "__columns")
