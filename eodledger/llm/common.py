@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     DataType,
@@ -27,6 +28,7 @@ ARROW = {
     StringType(): pa.string(),
     BooleanType(): pa.bool_(),
     BinaryType(): pa.binary(),
+    ArrayType(LongType()): pa.list_(pa.int64()),
 }
 
 #: Bytes of text that are handled together; a batch of long texts is cut into such pieces.

@@ -257,14 +257,21 @@ def drop_near_duplicates(
     A null key comes last. Of rows with equal key and fingerprint, the one with the smallest text
     hash stays, so repeated rows leave one. Columns are those of ``df``.
     """
-    mine, name, first = fresh(df, "__fp"), fresh(df, "__key"), fresh(df, "__first")
+    mine = fresh(df, "__fp")
     kept = stored(
         per_text(df, text, tuple(df.columns), {mine: LongType()}, lambda: _renamed(mine)), "documents"
     )
+    roots = clusters(kept.select(F.col(mine).alias("fp")), radius, tile)
+    return one_each(kept, mine, roots, key, text).select(*df.columns)
+
+
+def one_each(kept: DataFrame, mine: str, roots: DataFrame, key: str, text: str) -> DataFrame:
+    """Of each root of ``roots (fp, root)`` the row of ``kept`` with the smallest key; ``mine`` is its column of ``fp``."""
+    name, first = fresh(kept, "__key"), fresh(kept, "__first")
     own = kept.groupBy(F.col(mine).alias("fp")).agg(
         F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"))).alias("low")
     )
-    reps = own.join(clusters(own.select("fp"), radius, tile), "fp")
+    reps = own.join(roots, "fp")
     best = reps.groupBy("root").agg(F.min(F.struct("low", "fp")).alias("best"))
     # Null has a name of its own, so that the join and the ranking behind it deal rows out alike:
     # the texts are shuffled once.
@@ -272,7 +279,7 @@ def drop_near_duplicates(
     best = best.select(F.col("best.fp").alias(mine), named(F.col("best.low.k")).alias(name))
     chosen = kept.withColumn(name, named(F.col(key))).join(best, [mine, name], "left_semi")
     order = Window.partitionBy(mine, name).orderBy(F.xxhash64(text), F.length(text).asc_nulls_first())
-    return chosen.withColumn(first, F.row_number().over(order)).filter(F.col(first) == 1).select(*df.columns)
+    return chosen.withColumn(first, F.row_number().over(order)).filter(F.col(first) == 1)
 
 
 def _renamed(name: str):
