@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType
 
 from eodledger.llm.common import fresh, per_text
-from eodledger.llm.spans import Span, apart, digest, replaced, written
+from eodledger.llm.spans import Span, digest, replaced, written
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -22,16 +22,20 @@ ASSIGN_LEAST = 8
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-#: What may be a random string: a long run of one alphabet, with digits or with both cases.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: A run that may hold random strings, and its parts between signs.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PART = re.compile(r"[A-Za-z0-9]+")
+#: Characters of the shortest random string, and of the windows slid over longer parts by steps of ``STEP``.
+SHORTEST, STEP = 16, 4
 #: Characters a token of the tiktoken vocabulary, below which a candidate counts as random.
 CHARS_PER_TOKEN = 2.0
 #: Hexadecimal digits of the digests in use: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGESTS = (32, 40, 56, 64, 96, 128)
 DIGEST = re.compile("|".join(f"(?:[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}})" for n in DIGESTS))
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: Names: parts of letters with a few digits behind, joined by single signs or capitals.
-NAME = re.compile(r"[+/_=-]*(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+)(?:[+/_=-]+(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+)|[A-Z][a-z]+[0-9]{0,4})*[+/_=-]*")
+WORD = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
+#: Characters a token from which a part is a name, whatever its letters; a word is one from the other bound.
+NAME_RATIO = 3.0
 
 
 @lru_cache(maxsize=2)
@@ -52,22 +56,66 @@ def base_spans(text: str) -> list[Span]:
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def excluded(string: str) -> bool:
-    """Digests in usual lengths, UUIDs, numbers and names: long strings that are no secrets."""
-    return bool(DIGEST.fullmatch(string) or UUID.fullmatch(string) or NAME.fullmatch(string))
+def left_over(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What sorted spans leave of a place."""
+    out = []
+    for s, e in taken:
+        if s < end and e > start:
+            out.append((start, s))
+            start = max(start, e)
+    return [(a, b) for a, b in [*out, (start, end)] if a < b]
+
+
+def named(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Digests in usual lengths and UUIDs within a run: long strings that are no secrets."""
+    out = [m.span() for m in UUID.finditer(text, start, end)]
+    return sorted(out + [m.span() for m in PART.finditer(text, start, end) if DIGEST.fullmatch(m[0])])
+
+
+def stretches(text: str, start: int, end: int, ratio, least: float) -> list[tuple[int, int]]:
+    """Random strings of a run: what lies between its names, and windows of long parts that are no random string as a whole."""
+    out, open_parts = [], []
+
+    def close() -> None:
+        """Parts that follow each other are one string if it is random and one of them is no number."""
+        if open_parts:
+            a, b = open_parts[0][0], open_parts[-1][1]
+            if b - a >= SHORTEST and any(e - s >= 6 and r < least and not text[s:e].isdigit() for s, e, r in open_parts) and ratio(text[a:b]) < least:
+                out.append((a, b))
+            else:
+                out.extend((s, e) for s, e, r in open_parts if e - s >= SHORTEST and r < least and not text[s:e].isdigit())
+        open_parts.clear()
+
+    for m in PART.finditer(text, start, end):
+        beside = text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]
+        if m[0].isalpha() and not beside.isascii() and any(c.isalpha() and not c.isascii() for c in beside):
+            close()  # a piece of a word with letters that the alphabet lacks
+            continue
+        r = ratio(m[0])
+        if r >= NAME_RATIO or r >= least and (WORD.fullmatch(m[0]) or len(m[0]) >= SHORTEST):
+            close()
+            last = m.end() - SHORTEST
+            for at in [*range(m.start(), last, STEP), last] if last > m.start() else []:
+                if ratio(text[at : at + SHORTEST]) < least and not text[at : at + SHORTEST].isdigit():
+                    if out and at <= out[-1][1]:
+                        out[-1] = (out[-1][0], at + SHORTEST)
+                    else:
+                        out.append((at, at + SHORTEST))
+        else:
+            open_parts.append((*m.span(), r))
+    close()
+    return out
 
 
 def random_spans(text: str, encoding, least: float, taken: list[Span]) -> list[Span]:
-    """Candidates with few characters a token that overlap no other span."""
+    """Strings with few characters a token that overlap no other span."""
+    ratio = lambda s: len(s) / len(encoding.encode_ordinary(s))
+    base = sorted((s, e) for _, s, e in taken)
     out: list[Span] = []
     for m in CANDIDATE.finditer(text):
-        string = m[0]
-        if string.isalpha() and (string.islower() or string.isupper() or string.istitle()):
-            continue
-        if excluded(string) or not apart(m.start(), m.end(), taken):
-            continue
-        if len(string) < least * len(encoding.encode_ordinary(string)):
-            out.append(("random", m.start(), m.end()))
+        for a, b in left_over(*m.span(), sorted(base + named(text, *m.span()))):
+            if b - a >= SHORTEST:
+                out += [("random", *x) for x in stretches(text, a, b, ratio, least)]
     return out
 
 
