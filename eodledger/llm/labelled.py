@@ -18,7 +18,8 @@ def sample(
     """``key, text, y`` of at most ``most`` labelled documents that are not held out.
 
     They are chosen by a hash of the key; the chosen keys, bounded by ``most``, are broadcast to the
-    documents. Labels that are null or of a null key are passed over, repeated ones count once.
+    documents. Labels that are null or of a null key are passed over, repeated ones count once. Of
+    documents that repeat a key the smallest text counts, so no more than ``most`` rows are returned.
     """
     chosen = (
         labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key, *split))
@@ -27,4 +28,5 @@ def sample(
         .orderBy(F.xxhash64("key"), "key")
         .limit(most)
     )
-    return df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "key")
+    found = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "key")
+    return found.groupBy("key").agg(F.min("text").alias("text"), F.max("y").alias("y"))
