@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators rely on. Skewed sort-merge joins are split
 # even when that costs an extra exchange, because one key may hold a large share
-# of all rows.
+# of all rows. Shuffle files go when the query that wrote them has ended; a frame that is
+# executed again writes them again.
 RUNTIME_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
