@@ -105,3 +105,56 @@ TOP_K = """WITH v AS (
       FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
     SELECT query_id, place::INTEGER AS rank, vec_id, score FROM r WHERE place <= 20"""
+
+
+def _h(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str = "text") -> str:
+    return "sha256(" + " || ".join(_h(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Level after level by recursion, with the steps of each leaf read off the runs; CRC-32 bit by bit.
+MANIFEST = f"""WITH RECURSIVE d AS MATERIALIZED (
+      SELECT doc_id, lang, {_leaf()} AS leaf, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {_leaf()}) - 1 AS place,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered, source, n_chars, text
+      FROM documents),
+    c AS MATERIALIZED (
+      SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+          lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS crc
+      FROM d),
+    again AS (
+      SELECT row_number() OVER () AS id, doc_id, lang, place, leaf,
+        CASE WHEN crc % 3 = 0 THEN {_leaf("lowered")} ELSE leaf END AS changed FROM c),
+    nodes AS (
+      SELECT lang, 0 AS level, place AS idx, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM d
+      UNION ALL
+      SELECT lang, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value((n + 7) // 8)
+      FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 8),
+    subs AS MATERIALIZED (SELECT lang, level, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM nodes WHERE n = 1),
+    tops AS (
+      SELECT 0 AS level, place AS idx, h, count(*) OVER () AS n FROM subs
+      UNION ALL
+      SELECT level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value((n + 7) // 8) FROM tops WHERE n > 1 GROUP BY level, idx // 8),
+    kids AS MATERIALIZED (
+      SELECT false AS top, lang, level, idx, list(h ORDER BY pos) AS hs FROM (SELECT lang, level, idx // 8 AS idx, idx AS pos, h FROM nodes WHERE n > 1) GROUP BY ALL
+      UNION ALL
+      SELECT true, NULL, level, idx, list(h ORDER BY pos) FROM (SELECT level, idx // 8 AS idx, idx AS pos, h FROM tops WHERE n > 1) GROUP BY ALL),
+    steps AS (
+      SELECT a.id, k.top, k.level, k.hs, (a.place // (8 ** k.level)::BIGINT) % 8 AS j
+      FROM again a JOIN kids k ON NOT k.top AND k.lang IS NOT DISTINCT FROM a.lang AND k.idx = a.place // (8 ** (k.level + 1))::BIGINT
+      UNION ALL
+      SELECT a.id, true, k.level, k.hs, (s.place // (8 ** k.level)::BIGINT) % 8
+      FROM again a JOIN subs s ON s.lang IS NOT DISTINCT FROM a.lang JOIN kids k ON k.top AND k.idx = s.place // (8 ** (k.level + 1))::BIGINT),
+    cut AS (
+      SELECT id, list({{'l': array_to_string(hs[:j], ''), 'r': array_to_string(hs[j + 2:], '')}} ORDER BY top, level) AS path FROM steps GROUP BY id),
+    folded AS (
+      SELECT a.*, s.h AS subroot, coalesce(path, []) AS path FROM again a JOIN subs s ON s.lang IS NOT DISTINCT FROM a.lang LEFT JOIN cut USING (id)),
+    made AS (
+      SELECT doc_id, leaf, subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+        sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) AS proof_sha256,
+        list_reduce(list_prepend({{'l': '', 'r': changed}}, path), lambda a, b: {{'l': '', 'r': sha256(b.l || a.r || b.r)}}).r AS folded_root
+      FROM folded)
+    SELECT *, folded_root = root AS verified FROM made"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eodledger.llm import (
     bpe,
     checks,
+    merkle,
     mixing,
     pii,
     quality_model,
@@ -21,6 +22,7 @@ from eodledger.llm import (
     topk,
     toxicity,
 )
+from eodledger.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -33,8 +35,7 @@ RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokeniz
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return tune(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -94,8 +95,18 @@ def op10_indexed_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+#: What a leaf of the manifest is made of.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op11_merkle_proofs(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(table(spark, folder, "documents"), LEAF)
+
+
 CHECKS |= {
     "op1_pfair_mix": checks.mix(WEIGHTS),
     "op2_quality_votes": checks.quality(),
     "op8_bit_sliced_top": checks.TOP_K,
+    "op11_merkle_proofs": checks.MANIFEST,
 }
