@@ -158,3 +158,31 @@ MANIFEST = f"""WITH RECURSIVE d AS MATERIALIZED (
         list_reduce(list_prepend({{'l': '', 'r': changed}}, path), lambda a, b: {{'l': '', 'r': sha256(b.l || a.r || b.r)}}).r AS folded_root
       FROM folded)
     SELECT *, folded_root = root AS verified FROM made"""
+
+
+#: Words with their places, runs of them by position, and every cut of every candidate.
+COLLOCATIONS = """WITH d AS MATERIALIZED (
+      SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+      FROM documents),
+    p AS (SELECT id, lang, unnest(pieces) AS piece, unnest(range(len(pieces))) AS at_piece FROM d),
+    q AS (SELECT id, lang, at_piece, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+    w AS (SELECT id, lang, at_piece, unnest(words) AS w1, unnest(range(len(words))) AS pos FROM q),
+    g AS MATERIALIZED (
+      SELECT lang, w1, lead(w1) OVER near AS w2, lead(w1, 2) OVER near AS w3 FROM w WINDOW near AS (PARTITION BY id, at_piece ORDER BY pos)),
+    total AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+    u AS MATERIALIZED (SELECT lang, w1 AS p, count(*) AS f FROM g GROUP BY ALL),
+    b AS MATERIALIZED (SELECT lang, w1, w2, w1 || ' ' || w2 AS p, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+    t AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    parts AS MATERIALIZED (SELECT lang, p, f FROM u UNION ALL SELECT lang, p, f FROM b),
+    cuts AS (
+      SELECT lang, p AS phrase, f AS a, 1 AS k, w1 AS x, w2 AS y FROM b WHERE f >= 10
+        AND NOT EXISTS (SELECT 1 FROM t WHERE t.lang = b.lang AND 100 * t.f >= 50 * b.f AND (t.w1 = b.w1 AND t.w2 = b.w2 OR t.w2 = b.w1 AND t.w3 = b.w2))
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, f, 1, w1, w2 || ' ' || w3 FROM t
+      UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, f, 2, w1 || ' ' || w2, w3 FROM t),
+    scored AS (
+      SELECT c.lang, phrase, a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM cuts c JOIN parts l ON l.lang = c.lang AND l.p = c.x JOIN parts r ON r.lang = c.lang AND r.p = c.y),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM best JOIN total USING (lang) QUALIFY rank <= 2000"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eodledger.llm import (
     bpe,
     checks,
+    collocations,
     merkle,
     mixing,
     pii,
@@ -104,9 +105,15 @@ def op11_merkle_proofs(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified(table(spark, folder, "documents"), LEAF)
 
 
+@query
+def op13_phrase_streams(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 CHECKS |= {
     "op1_pfair_mix": checks.mix(WEIGHTS),
     "op2_quality_votes": checks.quality(),
     "op8_bit_sliced_top": checks.TOP_K,
     "op11_merkle_proofs": checks.MANIFEST,
+    "op13_phrase_streams": checks.COLLOCATIONS,
 }
