@@ -186,3 +186,16 @@ COLLOCATIONS = """WITH d AS MATERIALIZED (
     best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
     SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
     FROM best JOIN total USING (lang) QUALIFY rank <= 2000"""
+
+
+#: The first document of every window, and the words that windows of later documents cover.
+REPEATS = """WITH d AS MATERIALIZED (
+      SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    s AS (SELECT id, doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM d WHERE doc_id IS NOT NULL),
+    w AS MATERIALIZED (SELECT id, doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS passage FROM s),
+    f AS (SELECT passage, min(doc_id) AS doc_id FROM w GROUP BY passage),
+    gone AS (SELECT DISTINCT id, pos + k AS pos FROM w JOIN f USING (passage), range(13) r(k) WHERE w.doc_id > f.doc_id),
+    every AS (SELECT id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d),
+    kept AS (SELECT id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM every ANTI JOIN gone USING (id, pos) GROUP BY id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (id)"""

@@ -19,6 +19,7 @@ from eodledger.llm import (
     quality_rules,
     secrets,
     simhash,
+    substrings,
     token_counts,
     topk,
     toxicity,
@@ -105,6 +106,11 @@ def op11_merkle_proofs(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified(table(spark, folder, "documents"), LEAF)
 
 
+@query
+def op12_cover_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents"), digest=True)
+
+
 @query
 def op13_phrase_streams(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
@@ -115,5 +121,6 @@ CHECKS |= {
     "op2_quality_votes": checks.quality(),
     "op8_bit_sliced_top": checks.TOP_K,
     "op11_merkle_proofs": checks.MANIFEST,
+    "op12_cover_anchors": checks.REPEATS,
     "op13_phrase_streams": checks.COLLOCATIONS,
 }
