@@ -39,7 +39,7 @@ REMEMBERED, SHORT = 500_000, 64
 SEVERAL = 0
 
 PROBE = "bucket int, known boolean, rids array<long>, a array<long>, b array<long>, keys array<long>"
-FOUND = "rid long, hashes array<long>"
+FOUND = "bucket int, rids array<long>, hashes array<long>"
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -158,22 +158,42 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
-def _found(table: pa.Table, choose: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> pa.Table:
-    """``rid, hashes``: what ``choose`` picks among a bucket's probes, and what was known before."""
+def _found(table: pa.Table, choose: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], buckets: int) -> pa.Table:
+    """What ``choose`` picks among a bucket's probes, and what was known before: a row for each bucket of texts."""
     known = table.column("known").to_numpy()
     probes, rest = table.filter(pa.array(~known)), table.filter(pa.array(known))
     rids, hashes = choose(probes)
+    sizes = rest.column("a").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+    return _by_bucket(np.append(rids, np.repeat(_flat(rest, "rids"), sizes)), np.append(hashes, _flat(rest, "a")), buckets)
+
+
+def _by_bucket(rids: np.ndarray, hashes: np.ndarray, buckets: int) -> pa.Table:
+    rids, hashes, _ = _sorted(rids, hashes)
+    bucket = _bucket(rids.view(np.uint64), buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, rids, hashes = bucket[order], rids[order], hashes[order]
+    starts = _changes(bucket) if len(bucket) else np.empty(0, np.int64)
+    return pa.table({"bucket": pa.array(bucket[starts]), "rids": _lists(rids, starts), "hashes": _lists(hashes, starts)})
+
+
+def _sorted(rids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs without repeats, by text, and where a new text starts."""
     order = np.lexsort((hashes, rids))
     rids, hashes = rids[order], hashes[order]
-    if len(rids):
-        first = _changes(rids, hashes)
-        rids, hashes = rids[first], hashes[first]
-    starts = _changes(rids) if len(rids) else np.empty(0, np.int64)
-    own = pa.table({"rid": pa.array(rids[starts]), "hashes": _lists(hashes, starts)})
-    return pa.concat_tables([own, pa.table({"rid": pa.array(_flat(rest, "rids")), "hashes": rest.column("a").combine_chunks()})])
+    if not len(rids):
+        return rids, hashes, np.empty(0, np.int64)
+    first = _changes(rids, hashes)
+    rids, hashes = rids[first], hashes[first]
+    return rids, hashes, _changes(rids)
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """One row for each text of a bucket."""
+    rids, hashes, starts = _sorted(_flat(table, "rids"), _flat(table, "hashes"))
+    return pa.table({"rid": pa.array(rids[starts]), "hashes": _lists(hashes, starts)})
 
 
-def _shared(table: pa.Table) -> pa.Table:
+def _shared(buckets: int):
     """The anchors of a bucket that texts of several batches hold, or several texts of one."""
 
     def choose(probes: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +206,7 @@ def _shared(table: pa.Table) -> pa.Table:
         chosen = np.repeat((sizes > 1) | (none > 0), sizes) & (rids != SEVERAL)
         return rids[chosen], a[chosen]
 
-    return _found(table, choose)
+    return lambda table: _found(table, choose, buckets)
 
 
 def _window_probes(buckets: int):
@@ -222,7 +242,7 @@ def _window_probes(buckets: int):
     return run
 
 
-def _covered(table: pa.Table) -> pa.Table:
+def _covered(buckets: int):
     """The windows of a bucket that a text with a smaller key holds as well."""
 
     def choose(probes: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -234,12 +254,12 @@ def _covered(table: pa.Table) -> pa.Table:
         later = keys > np.repeat(least, np.diff(np.append(starts, len(a))))
         return rids[later], a[later]
 
-    return _found(table, choose)
+    return lambda table: _found(table, choose, buckets)
 
 
 def _by_text(found: DataFrame) -> DataFrame:
     """One row for each text, with all its hashes: no more than it has words."""
-    return found.groupBy("rid").agg(F.flatten(F.collect_set("hashes")).alias("hashes"))
+    return found.groupBy("bucket").applyInArrow(_gathered, "rid long, hashes array<long>")
 
 
 def covered_windows(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -256,10 +276,10 @@ def covered_windows(df: DataFrame, key: str = "doc_id", text: str = "text") -> t
     size = keyed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     anchors = keyed.select("rid", "text").mapInArrow(_anchor_probes(buckets), PROBE)
-    shared = stored(anchors.groupBy("bucket").applyInArrow(_shared, FOUND), "anchors")
+    shared = stored(anchors.groupBy("bucket").applyInArrow(_shared(buckets), FOUND), "anchors")
     near = keyed.join(_by_text(shared), "rid").select("rid", "text", "key", "hashes")
     windows = near.mapInArrow(_window_probes(buckets), PROBE)
-    return texts, stored(windows.groupBy("bucket").applyInArrow(_covered, FOUND), "windows")
+    return texts, stored(windows.groupBy("bucket").applyInArrow(_covered(buckets), FOUND), "windows")
 
 
 def _kept(joined: bool):
