@@ -31,7 +31,7 @@ SHADOW = 50
 #: Phrases returned for each language.
 TOP = 2000
 #: Words that a task counts together before it hands counts on.
-HELD = 2_000_000
+HELD = 1_000_000
 #: Bits of the bitmap of frequent pairs, as a power of two: 16 MB, whatever the input.
 BITMAP = 27
 #: Rows of a stream, as a power of two, that are passed over together.
