@@ -133,8 +133,8 @@ WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_SPACE}{_L}{_N}]+
 class Encoder:
     """Whole texts to ids and back, with the words and fragments seen so far remembered."""
 
-    def __init__(self, path: str):
-        self.path, self.v = path, vocabulary(path)
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.path, self.v, self.remembered = path, vocabulary(path), remembered
         self.fragment: dict[tuple, list[int]] = {}
         self.special = {token: (str(i), token, i.to_bytes(2, "big")) for token, i in self.v.special.items()}
         self.word, self.older = dict(self.special), {}
@@ -158,8 +158,8 @@ class Encoder:
         kinds = self.library.pre_tokenizer.pre_tokenize_str(normal)
         return [_Mapped(w) for w, _ in kinds]
 
-    def _encode(self, word: str) -> tuple[str, str, bytes]:
-        """The ids of a word and its tokens, joined by spaces; the ids as two bytes each, high byte first."""
+    def ids_of(self, word: str) -> list[int]:
+        """The ids of one word, which is not a special token."""
         if isinstance(word, _Mapped) or word.isascii() and word.isprintable():
             mapped = str(word)
         else:
@@ -168,12 +168,17 @@ class Encoder:
         for symbols in self.v.fragments(self.v.symbols(mapped)):
             key = tuple(symbols)
             if (found := self.fragment.get(key)) is None:
-                if len(self.fragment) >= REMEMBERED:
+                if len(self.fragment) >= self.remembered:
                     self.fragment.clear()
                 found = self.v.merge(symbols)
                 if len(key) < 100:
                     self.fragment[key] = found
             out += found
+        return out
+
+    def _encode(self, word: str) -> tuple[str, str, bytes]:
+        """The ids of a word and its tokens, joined by spaces; the ids as two bytes each, high byte first."""
+        out = self.ids_of(word)
         return " ".join(map(str, out)), self.decode(out), b"".join([i.to_bytes(2, "big") for i in out])
 
     def look_up(self, words: list[str]) -> list[tuple[str, str, bytes]]:

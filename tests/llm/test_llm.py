@@ -232,6 +232,19 @@ def test_token_counts_over_small_blocks(spark, documents):
         assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(documents, queries.WORD_BPE, block=block).collect()} == want
 
 
+def test_token_files_of_any_length_hold_any_key(spark, tmp_path):
+    keys = [0, 1, -1, (1 << 63) - 1, -(1 << 63), None, 50000**4, 7]
+    texts = ["Ā ā \u0480", "word " * 900, "", None, "x", "y z", "<|endoftext|> a", "ā" * 700]
+    frame = spark.createDataFrame(list(zip(keys, texts)), "doc_id long, text string").coalesce(1)
+    want = sorted((str(r.doc_id), r.n_tokens) for r in bpe.digests(frame, queries.WORD_BPE).collect())
+    for least in (2, 400, 1 << 20):
+        folder = f"{tmp_path}/{least}"
+        token_counts.write_tokens(frame, folder, queries.WORD_BPE, least=least)
+        found = token_counts.count(token_counts.blocks(spark, folder, 98))
+        got = found.select(token_counts.key_of(found["head"]).alias("k"), (found["n"] - token_counts.KEY_IDS).alias("n")).collect()
+        assert sorted((str(r.k), r.n) for r in got) == want
+
+
 def held(frame, label, parts, part, spark, folder):
     found = frame.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     rows = [r for r in found if r.held_out]
