@@ -98,3 +98,8 @@ def fresh(df: DataFrame, name: str) -> str:
 def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def identity(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes, which stand for a text (or null) where the text itself need not move."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)

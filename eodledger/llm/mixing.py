@@ -122,7 +122,8 @@ def positions(
     """
     name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    md5, src, part, mix = (fresh(df, c) for c in ("__md5", "__src", "__part", "__mix"))
+    names = ("__md5", "__src", "__part", "__mix", "__offset", "__plan", "__in_part", "__rank", "__block", "__slot")
+    md5, src, part, mix, offset, plan, in_part, ranked, block_, slot = (fresh(df, c) for c in names)
     rows = df.withColumns({md5: digest, src: name(F.col(source)), part: F.substring(digest, 1, DIGITS)})
     sizes = (
         df.select(F.col(source).cast("string").alias("source"), F.substring(digest, 1, DIGITS).alias("part"))
@@ -131,33 +132,34 @@ def positions(
     )
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        name(F.col("source")).alias(src), F.col("part").alias(part), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset")
+        name(F.col("source")).alias(src), F.col("part").alias(part), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset)
     )
     totals = sizes.groupBy("source").agg(F.sum("n").alias("total"))
-    plan = schedule(totals.withColumn("w", weight(F.col("source"), weights, default)), block)
+    made = schedule(totals.withColumn("w", weight(F.col("source"), weights, default)), block)
     # One row a source and one number a slot of the period, which is bounded: a broadcast of known size.
-    plan = F.broadcast(plan.select(name(F.col("source")).alias(src), F.struct("w", "plan", "period", "end").alias("__plan")))
+    plans = F.broadcast(made.select(name(F.col("source")).alias(src), F.struct("w", "plan", "period", "end").alias(plan)))
     rank = F.row_number().over(Window.partitionBy(src, part).orderBy(md5))
-    ranked = (
-        rows.withColumn("__in_part", rank)
+    places = (
+        rows.withColumn(in_part, rank)
         .join(offsets, [src, part])
-        .join(plan, src)
-        .withColumn("__rank", F.expr("__offset + __in_part - 1"))
-        .withColumn("__block", F.expr(f"__rank div {block}"))
-        .withColumn("__slot", F.expr("(__block div __plan.w) * __plan.period + get(__plan.plan, cast(__block % __plan.w as int))"))
+        .join(plans, src)
+        .withColumn(ranked, F.expr(f"{offset} + {in_part} - 1"))
+        .withColumn(block_, F.expr(f"{ranked} div {block}"))
+        .withColumn(slot, F.expr(f"({block_} div {plan}.w) * {plan}.period + get({plan}.plan, cast({block_} % {plan}.w as int))"))
     )
-    made = F.struct(
-        F.col("__slot").alias("slot"),
-        F.expr(f"__slot * {block} + __rank % {block}").alias("position"),
-        (F.col("__slot") < F.col("__plan.end")).alias("in_mix"),
+    place = F.struct(
+        F.col(slot).alias("slot"),
+        F.expr(f"{slot} * {block} + {ranked} % {block}").alias("position"),
+        (F.col(slot) < F.col(plan)["end"]).alias("in_mix"),
     )
-    return ranked.withColumn(mix, made).select(*df.columns, mix)
+    return places.withColumn(mix, place).select(*df.columns, mix)
 
 
 def mixed(df: DataFrame, weights: Mapping[str, int], default: int = 1, key: str = "doc_id", source: str = "source", block: int = BLOCK) -> DataFrame:
     """The rows of ``df`` in the order of their positions, with the columns of ``df``.
 
-    The order is that of the files and rows written from the frame.
+    The order is that of the files and rows written from the frame. Repeated rows repeat; an empty
+    table gives no rows; other columns, whatever their names, stay as they are.
     """
     found = positions(df, weights, default, key, source, block)
     return found.orderBy(F.col(found.columns[-1])["position"]).select(*df.columns)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eodledger.llm.common import BLANKS, fresh, let
+from eodledger.llm.common import BLANKS, fresh, identity, let
 from eodledger.session import stored
 
 SPLIT = r"[\x20\x09-\x0D]+"
@@ -227,8 +227,8 @@ def posteriors(rows: DataFrame, pattern: str) -> DataFrame:
     ).select("r.*")
 
 
-def _judged(df: DataFrame, text: str, m: str, pattern: str, chance: str) -> DataFrame:
-    """The stored rows with counts, votes and the posterior; ``text`` itself only if it is in ``df``."""
+def _judged(df: DataFrame, m: str, pattern: str, chance: str) -> DataFrame:
+    """The stored rows with counts, votes and the posterior."""
     rows = stored(df.withColumn(pattern, votes(m)), "votes")
     found = posteriors(rows, pattern).withColumnRenamed("p_good", chance)
     # At most 3 ** len(RULES) patterns, so the broadcast has a bound of its own.
@@ -243,7 +243,7 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", least: float =
     often as they occur; an empty table gives no rows; other columns are not read.
     """
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = _judged(measured(source, "text", "m").drop("text"), "text", "m", "votes", "p_good")
+    rows = _judged(measured(source, "text", "m").drop("text"), "m", "votes", "p_good")
     return rows.select(
         F.col("key").alias(key),
         *[F.col(f"m.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
@@ -256,9 +256,14 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", least: float =
 def keep_good(df: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``df`` that ``judge`` keeps, with the columns of ``df``.
 
-    Rows with their counts are written once to the shared folder, so that the counts, which take
-    most of the time, are not computed twice.
+    The verdict depends on the text alone. Counts are written once to the shared folder, without the
+    texts; the texts that stay are then found by their hashes. A null text has no words and goes;
+    repeated rows stay or go together; an empty table gives no rows.
     """
-    m, pattern, chance = fresh(df, "__counts"), fresh(df, "__votes"), fresh(df, "__p_good")
-    rows = _judged(measured(df, text, m), text, m, pattern, chance)
-    return rows.filter(~base_failed(m) & (F.col(chance) >= least)).select(*df.columns)
+    a, b = identity(F.col("text"))
+    texts = df.select(F.col(text).alias("text"))
+    rows = _judged(measured(texts, "text", "m").select(a.alias("a"), b.alias("b"), "m"), "m", "votes", "p_good")
+    good = rows.filter(~base_failed("m") & (F.col("p_good") >= least)).select("a", "b").distinct()
+    a, b = fresh(df, "__a"), fresh(df, "__b")
+    named = df.withColumns(dict(zip((a, b), identity(F.col(text)))))
+    return named.join(good.withColumnsRenamed({"a": a, "b": b}), [a, b], "left_semi").select(*df.columns)

@@ -254,34 +254,20 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``df`` that stay: of each component the one with the smallest key.
 
-    A null key comes last. Of rows with equal key and fingerprint, the one with the smallest text
-    hash stays, so repeated rows leave one. Columns are those of ``df``.
+    A null key comes last. Of rows with equal keys in a component, the one with the smallest text hash
+    stays, so repeated rows leave one. Columns are those of ``df``; an empty table gives no rows. Keys,
+    hashes and fingerprints are stored, texts are not; the rows that stay are found by key and hash.
     """
-    mine = fresh(df, "__fp")
-    kept = stored(
-        per_text(df, text, tuple(df.columns), {mine: LongType()}, lambda: _renamed(mine)), "documents"
-    )
-    roots = clusters(kept.select(F.col(mine).alias("fp")), radius, tile)
-    return one_each(kept, mine, roots, key, text).select(*df.columns)
-
-
-def one_each(kept: DataFrame, mine: str, roots: DataFrame, key: str, text: str) -> DataFrame:
-    """Of each root of ``roots (fp, root)`` the row of ``kept`` with the smallest key; ``mine`` is its column of ``fp``."""
-    name, first = fresh(kept, "__key"), fresh(kept, "__first")
-    own = kept.groupBy(F.col(mine).alias("fp")).agg(
-        F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"))).alias("low")
-    )
-    reps = own.join(roots, "fp")
-    best = reps.groupBy("root").agg(F.min(F.struct("low", "fp")).alias("best"))
+    own = F.xxhash64(F.col(text))
+    found = stored(per_text(df.select(F.col(key).alias("key"), F.col(text).alias("text"), own.alias("own")), "text", ("key", "own"), {"fp": LongType()}, _work), "fingerprints")
+    roots = clusters(found.select("fp"), radius, tile)
+    low = found.groupBy("fp").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "own")).alias("low"))
+    best = low.join(roots, "fp").groupBy("root").agg(F.min("low").alias("low"))
     # Null has a name of its own, so that the join and the ranking behind it deal rows out alike:
     # the texts are shuffled once.
     named = lambda k: F.coalesce(F.concat(F.lit("="), k.cast("string")), F.lit(""))
-    best = best.select(F.col("best.fp").alias(mine), named(F.col("best.low.k")).alias(name))
-    chosen = kept.withColumn(name, named(F.col(key))).join(best, [mine, name], "left_semi")
-    order = Window.partitionBy(mine, name).orderBy(F.xxhash64(text), F.length(text).asc_nulls_first())
-    return chosen.withColumn(first, F.row_number().over(order)).filter(F.col(first) == 1)
-
-
-def _renamed(name: str):
-    run = _work()
-    return lambda texts: {name: run(texts)["fp"]}
+    name, mine, first = fresh(df, "__key"), fresh(df, "__own"), fresh(df, "__first")
+    best = best.select(named(F.col("low.key")).alias(name), F.col("low.own").alias(mine))
+    chosen = df.withColumns({name: named(F.col(key)), mine: own}).join(best, [name, mine], "left_semi")
+    order = Window.partitionBy(name, mine).orderBy(F.length(text).asc_nulls_first())
+    return chosen.withColumn(first, F.row_number().over(order)).filter(F.col(first) == 1).select(*df.columns)

@@ -245,6 +245,16 @@ def test_token_files_of_any_length_hold_any_key(spark, tmp_path):
         assert sorted((str(r.k), r.n) for r in got) == want
 
 
+def test_mix_leaves_columns_named_like_its_own(spark):
+    names = ("__md5", "__src", "__part", "__mix", "__offset", "__plan", "__in_part", "__rank", "__block", "__slot", "n", "w", "total")
+    frame = spark.createDataFrame([(i, "ab"[i % 2], *[77] * len(names)) for i in range(90)], "doc_id long, source string, " + ", ".join(f"{n} int" for n in names))
+    found = mixing.mixed(frame, {"a": 2})
+    assert found.columns == frame.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, frame.collect()))
+    plain = {tuple(r) for r in queries.mixing.positions(frame.select("doc_id", "source"), {"a": 2}).collect()}
+    placed = mixing.positions(frame, {"a": 2})
+    assert {(r.doc_id, r.source, r[placed.columns[-1]]) for r in placed.collect()} == plain
+
+
 def held(frame, label, parts, part, spark, folder):
     found = frame.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     rows = [r for r in found if r.held_out]
