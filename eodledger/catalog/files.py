@@ -93,10 +93,10 @@ def all_string_cast(t):
     "SELECT page_id, (length(html) + 1)::INT AS characters, md5(html || chr(10)) AS digest FROM pages",
 )
 def corpus_scan(t):
-    """Pages become a tree of one file each, which is then scanned as a corpus."""
+    """Pages become a tree of one file each, which is then scanned as a corpus; the writer's checksum files are left out."""
     root = scratch_path(t.spark, "corpus")
     t.pages.select("html", "page_id").write.partitionBy("page_id").text(root)
-    return scan_corpus(t.spark, root).select(
+    return scan_corpus(t.spark, root).where(F.col("path").endswith(".txt")).select(
         F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
         F.length("text").alias("characters"),
         F.md5(F.col("text").cast("binary")).alias("digest"),

@@ -134,6 +134,28 @@ def test_corpus(spark, tmp_path):
     assert name_usage(corpus, "text", usage_frame(spark, [Usage("closed_trades")])).count() == 0
 
 
+def test_corpus_has_the_files_of_the_tree_each_once(spark, tmp_path, monkeypatch):
+    from eodledger.sources import corpus
+
+    names = ["_k=v.sql", "sub/_y=1.sql", "b.sql._COPYING_", ".x", ".dir/y.z", "_a/b.c", "_p=1/q.sql", "a b/ü%20 #?.txt", "x.", "dir.d/in.txt", "e/m/p/t/y.txt"]
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("" if "empty" in name or name == ".x" else f"{i} text")
+    (tmp_path / "no_dot").write_text("z")
+    (tmp_path / "many").mkdir()
+    for i in range(40):
+        (tmp_path / "many" / f"{i}" / "deep").mkdir(parents=True)
+        (tmp_path / "many" / f"{i}" / "deep" / "f.sql").write_text(f"many {i}")
+    want = sorted(str(p) for p in tmp_path.rglob("*.*") if p.is_file())
+    for folders in (64, 5, 1):
+        monkeypatch.setattr(corpus, "FOLDERS", folders)
+        assert sorted(r["path"] for r in scan_corpus(spark, str(tmp_path)).collect()) == want
+    by_address = scan_corpus(spark, tmp_path.as_uri() + "/").collect()
+    assert sorted(r["path"].removeprefix("file://") for r in by_address) == want
+    assert sorted(r["text"] for r in by_address) == sorted(open(p).read() for p in want)
+    assert scan_corpus(spark, f"file:{tmp_path}").count() == len(want)
+
+
 def test_shards(spark, tmp_path):
     assert shards.shard_table("srv", 2024) == "srv.mt5_deals_2024"
     names = []
