@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eodledger.functions.times import ntz
 from eodledger.operators.joins import semi_on
+from eodledger.operators.naming import found_in
 from eodledger.sources.operational import TRANSACTION_COLUMNS
 from eodledger.sources.tables import as_strings, full_refresh, preview
 
@@ -23,10 +24,11 @@ SUMMARY_HEAD = "Long-running queries cancelled: "
 # The deal columns an adjustment delivers.
 DEAL_COLUMNS = ("deal", "time", "timeMsc", "login", "server")
 
-# Names after INSERT INTO, and after FROM or JOIN.
-TARGET_NAME = r"(?i)\binsert\s+into\s+(?:table\s+)?([\w.]+)"
-SOURCE_NAME = r"(?i)\b(?:from|join)\s+([\w.]+)"
-STATEMENT_START = r"(?i);|(?=\binsert\s+into\b)"
+# Names after INSERT INTO, and after FROM or JOIN, in lowered texts.
+TARGET_NAME = r"\binsert\s+into\s+(?:table\s+)?([\w.]+)"
+SOURCE_NAME = r"\b(?:from|join)\s+([\w.]+)"
+INSERT = "insert"
+STATEMENT_START = r";|(?=\binsert\s+into\b)"
 
 
 def keyed_extract(
@@ -116,51 +118,50 @@ def name_usage(corpus: DataFrame, text: str, usages: DataFrame, raw: bool = Fals
     """One row per text and usage found, for any number of ``usages (table, columns)``.
 
     A usage is found where the lowered text holds the lowered table name and any of the lowered
-    column names; ``raw`` looks for the table name as written, so one with capitals is never found.
-    Null texts hold nothing.
-
-    The names are a stated list, which each task holds whole; each text is lowered once and read
-    where it lies, without an exchange. Only the names found in it meet the usages, in a join.
+    column names; ``raw`` looks for the table name alone, as written, so one with capitals is never
+    found. Null texts hold nothing; a usage that is listed twice is found twice. Each text is lowered
+    once and read once where it lies, without an exchange, whatever the number of names.
     """
-    tables = usages.select(
+    specs = usages.select(
         F.col("table").alias("used"),
-        (F.col("table") if raw else F.lower("table")).alias("__table"),
-        F.transform("columns", F.lower).alias("__columns"),
-    )
-    named = F.array("__table") if raw else F.concat(F.array("__table"), F.coalesce("__columns", F.array().cast("array<string>")))
-    names = tables.select(F.explode(named).alias("__name")).where(F.col("__name").isNotNull()).distinct()
-    listed = corpus.withColumn("__all", names.agg(F.collect_set("__name")).scalar())
-    within = F.transform(
-        F.array(F.lower(text)), lambda lowered: F.filter("__all", lambda name: F.contains(lowered, name))
+        (F.col("table") if raw else F.lower("table")).alias("name"),
+        F.transform("columns", F.lower).alias("columns"),
     )
-    held = listed.withColumn("__names", within[0]).drop(text, "__all")
-    found = held.withColumn("__table", F.explode("__names")).join(tables, "__table")
-    if not raw:
-        found = found.where(F.arrays_overlap("__names", "__columns"))
-    return found.drop("__table", "__names", "__columns")
+    return found_in(corpus, text, specs, not raw)
 
 
 def usage_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("used").agg(F.count(F.lit(1)).alias("texts"))
 
 
+def _statements(text: str) -> Column:
+    """The INSERT statements of a lowered text.
+
+    Most texts hold the word once and no semicolon: those are cut at the word, without a pattern.
+    """
+    first = F.locate(INSERT, F.col(text))
+    once = (F.locate(INSERT, F.substr(text, first + 1)) == 0) & ~F.contains(text, F.lit(";"))
+    # With the character before it, so that a word boundary can be told.
+    whole = F.substr(text, F.greatest(first - 1, F.lit(1)))
+    return F.when(first == 0, None).when(once, F.array(whole)).otherwise(F.filter(F.split(text, STATEMENT_START), is_insert))
+
+
 def statement_edges(statements: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     """The keys of a text, the number of a statement in it, and each target and source of that statement.
 
     A statement begins at INSERT INTO and ends at a semicolon or at the next INSERT INTO.
     Names are taken from the text by pattern: quoted identifiers are not recognised, and
-    names of common table expressions or in comments count as sources.
+    names of common table expressions or in comments count as sources. The arrays are opened with
+    their empty ones kept, because Spark would otherwise work them out a second time to test their size.
     """
     one = F.col("__statement")
-    sources = F.regexp_extract_all(F.lower(one), F.lit(SOURCE_NAME), F.lit(1))
+    sources = F.regexp_extract_all(one, F.lit(SOURCE_NAME), F.lit(1))
     return (
-        statements.select(*keys, F.posexplode(F.filter(F.split(text, STATEMENT_START), is_insert)).alias("statement", "__statement"))
-        .select(
-            *keys,
-            "statement",
-            F.lower(F.regexp_extract(one, TARGET_NAME, 1)).alias("target"),
-            F.explode(F.array_distinct(sources)).alias("source"),
-        )
+        statements.select(*keys, F.lower(text).alias("__text"))
+        .select(*keys, F.posexplode_outer(_statements("__text")).alias("statement", "__statement"))
+        .select(*keys, "statement", F.regexp_extract(one, TARGET_NAME, 1).alias("target"), F.array_distinct(sources).alias("__sources"))
+        .select(*keys, "statement", "target", F.explode_outer("__sources").alias("source"))
+        .where("target <> '' AND source IS NOT NULL")
     )
 
 

@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from eodledger.operators import naming
 from eodledger.plans import jobs
 
 D = datetime
@@ -62,11 +63,15 @@ def test_lineage_of_several_statements_in_a_text(rows):
             (2, "insert into d select * from e\ninsert into f select * from g; select 1 from h"),
             (3, None),
             (4, "insert into k values (1)"),
+            (5, "reinsert into z select * from y"),
+            (6, "select 1 from b INSERT  INTO w select * from v"),
+            (7, "inserts; insert into u select * from t"),
+            (8, "insert"),
         ],
         "id int, s string",
     )
     found = [tuple(r) for r in jobs.statement_edges(texts, "s", ["id"]).collect()]
-    assert sorted(found) == [(1, 0, "a", "b"), (1, 1, "c", "a"), (2, 0, "d", "e"), (2, 1, "f", "g")]
+    assert sorted(found) == [(1, 0, "a", "b"), (1, 1, "c", "a"), (2, 0, "d", "e"), (2, 1, "f", "g"), (6, 0, "w", "v"), (7, 0, "u", "t")]
 
 
 def test_adjusted_deals(rows):
@@ -119,7 +124,7 @@ def test_jobs_save_tables(spark, rows):
     assert spark.table("default.crm_transaction_adj_x").count() == 1
 
 
-def test_name_usage_of_thousands_of_specs(spark, rows):
+def test_name_usage_of_thousands_of_specs(spark, rows, monkeypatch):
     texts = [(i, f"select Col_{i} from Table_{i}, t\nwhere x_{i % 7} = 1" if i % 10 else None) for i in range(300)]
     texts += [(300, ""), (301, "a"), (1, texts[1][1]), (302, "table_9 " * 20_000 + "col_9")]
     specs = [(f"Table_{i}", [f"COL_{i}", "nowhere"]) for i in range(5000)] + [("t", ["x_3"]), ("Table_1", ["x_1"]), ("", ["a"]), ("t", None), (None, ["a"])]
@@ -135,3 +140,7 @@ def test_name_usage_of_thousands_of_specs(spark, rows):
     assert Counter((r["id"], r["used"]) for r in jobs.name_usage(corpus, "body", usages).collect()) == want
     raw = Counter((i, t) for i, body in texts if body is not None for t, _ in specs if t is not None and t in body.lower())
     assert Counter((r["id"], r["used"]) for r in jobs.name_usage(corpus, "body", usages, raw=True).collect()) == raw
+    monkeypatch.setattr(naming, "LIST_BYTES", 40_000)
+    in_parts = jobs.name_usage(corpus, "body", usages)
+    assert in_parts._jdf.queryExecution().executedPlan().toString().count("MapInArrow") > 1
+    assert Counter((r["id"], r["used"]) for r in in_parts.collect()) == want
