@@ -211,6 +211,21 @@ def rate_pivot(t):
     return wide.select("id.p_brand", "id.p_size", *RATE_TYPES)
 
 
+@registered(
+    "rate_pivot_repeats",
+    """WITH r AS (SELECT p_brand || '/' || (p_size % 25) AS id, p_type, p_retailprice AS rate FROM part)
+        SELECT e.id, e.rate AS economy, s.rate AS small, m.rate AS medium
+        FROM r e LEFT JOIN r s ON s.id = e.id AND s.p_type = 'SMALL' LEFT JOIN r m ON m.id = e.id AND m.p_type = 'MEDIUM'
+        WHERE e.p_type = 'ECONOMY'""",
+)
+def rate_pivot_repeats(t):
+    """Several rates for one (id, group) pair: the pairs multiply."""
+    rates = t.part.select(
+        F.concat_ws("/", "p_brand", (F.col("p_size") % 25).cast("string")).alias("id"), "p_type", F.col("p_retailprice").alias("rate")
+    )
+    return joins.rate_pivot(rates, "id", "p_type", "rate", {n: RATE_TYPES[n] for n in ("economy", "small", "medium")})
+
+
 @registered(
     "keyed_extract",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders

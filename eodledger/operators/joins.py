@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from eodledger.functions.texts import like_ignore_case
 
 GRAM = 3
+#: Days that a bin of a validity join holds.
+BIN_DAYS = 8
 
 
 def cast_key_join(
@@ -69,14 +71,31 @@ def validity_join(
     first: str,
     last: str,
     how: str = "inner",
+    width: int = BIN_DAYS,
 ) -> DataFrame:
-    """Equal key and day within [first, last], both ends included."""
+    """Equal key and day within [first, last], both ends included.
+
+    Days are put into bins of ``width`` days and a period into every bin it touches, between the first
+    and the last day of any fact. The join is on key and bin, so the facts of few keys, or of one key
+    with many rows, are spread over as many tasks as there are bins; the ends are tested on the pairs
+    that meet. Periods without an end, or that end before they start, match nothing.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"validity_join cannot preserve the periods: {how}")
+    of = lambda column: F.expr(f"unix_date(to_date(`{column}`)) div {width}")
+    ends = facts.agg(F.min(of(day)).alias("low"), F.max(of(day)).alias("high"))
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    from_, to = F.greatest(of(first), low), F.least(of(last), high)
+    bins = F.when(from_ <= to, F.sequence(from_, to))
+    binned = periods.withColumn("__period_bin", F.explode(bins))
+    dealt = facts.withColumn("__bin", of(day))
     on = (
-        (facts[key] == periods[period_key])
-        & (facts[day] >= periods[first])
-        & (facts[day] <= periods[last])
+        (dealt[key] == binned[period_key])
+        & (dealt["__bin"] == binned["__period_bin"])
+        & (dealt[day] >= binned[first])
+        & (dealt[day] <= binned[last])
     )
-    return facts.join(periods, on, how)
+    return dealt.join(binned, on, how).drop("__bin", "__period_bin")
 
 
 def semi_on(df: DataFrame, listed: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -168,10 +187,11 @@ def rate_pivot(
     groups: Mapping[str, object],
     unique: bool = False,
 ) -> DataFrame:
-    """One column per group, for the ids that have the first group.
+    """One column per group, for the ids that have the first group, in one exchange.
 
-    With ``unique`` (id, group) pairs one conditional aggregate does it in a single
-    exchange. Otherwise each group is joined, so that repeated pairs multiply.
+    Repeated (id, group) pairs multiply, as if each group were joined to the first: the values of
+    each group are collected for an id and their product is laid out. A null id has the first group
+    only. With ``unique`` pairs a conditional aggregate is enough.
     """
     (base_name, base_code), *others = groups.items()
     wanted = df.where(F.col(group_column).isin(*groups.values()))
@@ -179,11 +199,11 @@ def rate_pivot(
         picked = [F.max(F.when(F.col(group_column) == code, F.col(value))).alias(n) for n, code in groups.items()]
         has_base = F.bool_or(F.col(group_column) == base_code).alias("__has_base")
         return wanted.groupBy(id_column).agg(*picked, has_base).where("__has_base").drop("__has_base")
-
-    def one(name, code):
-        return df.where(F.col(group_column) == code).select(id_column, F.col(value).alias(name))
-
-    result = one(base_name, base_code)
-    for name, code in others:
-        result = result.join(one(name, code), id_column, "left")
-    return result
+    # In a struct, so that null values are collected too.
+    held = F.struct(F.col(value).alias("value"))
+    lists = [F.collect_list(F.when(F.col(group_column) == code, held)).alias(n) for n, code in groups.items()]
+    rows = wanted.groupBy(id_column).agg(*lists).select(id_column, *groups, F.explode(base_name).alias("__0"))
+    for i, (name, _) in enumerate(others, 1):
+        joined = F.when(F.col(id_column).isNotNull(), F.col(name))
+        rows = rows.select(id_column, *groups, *[f"__{k}" for k in range(i)], F.explode_outer(joined).alias(f"__{i}"))
+    return rows.select(id_column, *[F.col(f"__{i}")["value"].alias(n) for i, n in enumerate(groups)])

@@ -2,7 +2,7 @@
 
 import random
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import plan_of
@@ -182,6 +182,19 @@ def test_rate_pivot(rows):
     assert doubled.where("id = 1").count() == 4
 
 
+def test_rate_pivot_multiplies_like_joins(spark, rows):
+    data = [(i, g, float(i * g + k)) for i in range(6) for g in (6, 7, 8, 9) for k in range((i * g) % 4)]
+    data += [(None, 6, 1.0), (None, 6, 2.0), (None, 7, 3.0), (1, 6, None), (1, 8, None), (1, 8, None), (9, 7, 1.0)]
+    rows(data, "id int, g int, r double").createOrReplaceTempView("group_rates")
+    expected = spark.sql(
+        "SELECT a.id, a.r AS fx, b.r AS bul, c.r AS oil FROM group_rates a LEFT JOIN group_rates b ON b.id = a.id AND b.g = 7 "
+        "LEFT JOIN group_rates c ON c.id = a.id AND c.g = 8 WHERE a.g = 6"
+    )
+    found = joins.rate_pivot(spark.table("group_rates"), "id", "g", "r", {"fx": 6, "bul": 7, "oil": 8})
+    same(found, expected)
+    assert plan_of(found).count("Exchange hashpartitioning") == 1 and "Join" not in plan_of(found)
+
+
 def test_or_residual_and_cast_keys(rows):
     left = rows([("10", "s1"), ("W1", None), ("10", "s2")], "login string, server string")
     right = rows([("10", "s1", 1), ("W1", "w", 2)], "external string, ta_server string, n int")
@@ -196,7 +209,27 @@ def test_validity_ends_are_inclusive(rows):
     facts = rows([("a", date(2024, 1, d)) for d in (1, 2, 3, 4)], "s string, d date")
     periods = rows([("a", date(2024, 1, 2), date(2024, 1, 3))], "p string, f date, l date")
     found = joins.validity_join(facts, periods, "s", "d", "p", "f", "l")
-    assert found.count() == 2
+    assert found.count() == 2 and found.columns == ["s", "d", "p", "f", "l"]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_validity_bins_equal_the_range_join(spark, rows, how):
+    day = lambda n: date(2024, 1, 1) + timedelta(days=n)
+    facts = rows([("hot" if i % 3 else f"k{i % 5}", day(i % 90)) for i in range(400)] + [("hot", None), (None, day(3))], "s string, d date")
+    spans = [("hot", 3, 3), ("hot", 3, 60), ("hot", 50, 40), ("k1", -9000, 900000), ("k2", 7, 8), ("k0", 80, 200), ("none", 0, 9)]
+    periods = rows(
+        [(k, day(a), day(b)) for k, a, b in spans] + [("k4", None, day(9)), ("k4", day(1), None), (None, day(0), day(9))], "p string, f date, l date"
+    )
+    on = (F.col("s") == F.col("p")) & (F.col("d") >= F.col("f")) & (F.col("d") <= F.col("l"))
+    found = joins.validity_join(facts, periods, "s", "d", "p", "f", "l", how)
+    same(found, facts.join(periods, on, how))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = joins.validity_join(facts, periods, "s", "d", "p", "f", "l", how, width=2)
+        assert re.search(r"hashpartitioning\(s#\d+, __bin#\d+L?", plan_of(moved))
+        same(moved, facts.join(periods, on, how))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_full_outer_key(rows):
@@ -217,6 +250,13 @@ def test_latest_rate_equals_join_then_rank(rows):
     fast = rates.latest_rate_lookup(accounts, quotes, "cur", "ac", "day")
     slow = dedup.latest_per_key(accounts.join(quotes, F.col("cur") == F.col("ac"), "left"), ["id"], "day")
     same(fast, slow)
+    # the fact side stays where it is; a list that is too large moves instead
+    assert "Exchange hashpartitioning" not in plan_of(fast) and "BroadcastHashJoin" in plan_of(fast)
+    moved = rates.latest_rate_lookup(accounts, quotes, "cur", "ac", "day", most=10)
+    same(moved, slow)
+    assert "__salt" in plan_of(moved)
+    only = rates.latest_rate_lookup(accounts, quotes, "cur", "ac", "day", only_if=F.col("id") < 1, most=10)
+    assert values(only.where("rate is not null"), "id") == [(0,)] and only.count() == 5
 
 
 def test_daily_close_is_a_hash_aggregate(spark):
