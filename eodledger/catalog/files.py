@@ -20,6 +20,7 @@ from eodledger.sources.tables import (
     full_refresh_path,
     load_csv_strings,
     load_csv_typed,
+    replace_days_by_position,
 )
 
 
@@ -125,3 +126,21 @@ def report_append_by_position(t):
     append_by_position(report, name, output_columns(CONFIG_A))
     t.spark.sql(f"DROP TABLE {name}")
     return t.spark.read.schema(report.schema).parquet(path)
+
+
+@registered(
+    "append_same_day_twice",
+    """SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01' THEN -o_totalprice ELSE o_totalprice END AS total, year(o_orderdate)::INT AS year
+        FROM orders""",
+)
+def append_same_day_twice(t):
+    """Orders inserted by position; the later years run again with other values and replace theirs."""
+    path, name = scratch_path(t.spark, "orders_table"), f"orders_{uuid.uuid4().hex}"
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("total"), F.year("o_orderdate").alias("year"))
+    t.spark.sql(f"CREATE TABLE {name} (k BIGINT, amount DOUBLE, y INT) USING parquet PARTITIONED BY (y) LOCATION '{path}'")
+    replace_days_by_position(rows, name, rows.columns, ["year"])
+    again = rows.where("year >= 1996").withColumn("total", -F.col("total"))
+    replace_days_by_position(again, name, rows.columns, ["year"])
+    t.spark.sql(f"DROP TABLE {name}")
+    saved = t.spark.read.schema("k bigint, amount double, y int").parquet(path)
+    return saved.select(F.col("k").alias("o_orderkey"), F.col("amount").alias("total"), F.col("y").alias("year"))

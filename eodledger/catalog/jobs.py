@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from eodledger.catalog.registry import registered
 from eodledger.plans import jobs
 from eodledger.plans.jobs import Usage, usage_frame
+from eodledger.session import scratch_path
+from eodledger.sources.shards import read_shard_tree, write_shard_tree
 
 USAGES = (Usage("Then", ("the ", "and")), Usage("eaux", ("MENT", "zzzz")), Usage("hand", ("nowhere",)))
 
@@ -114,7 +116,20 @@ def txn_adjustment(t):
         F.col("o_orderstatus").alias("server"),
         F.year("l_shipdate").alias("year"),
     )
-    return jobs.adjusted_deals(adjustments, crm, trades, deals)
+    return jobs.adjusted_deals(adjustments, crm, trades, _shards(t, deals))
+
+
+_TREES: dict[tuple[str, str], str] = {}
+
+
+def _shards(t, deals):
+    """The deals as a tree of shards, written once a session, since that is how they lie."""
+    own = t.spark.sparkContext.applicationId, t.folder
+    if own not in _TREES:
+        path = scratch_path(t.spark, "deals")
+        write_shard_tree(deals, path)
+        _TREES[own] = path
+    return read_shard_tree(t.spark, _TREES[own])
 
 
 NOW = datetime(2024, 1, 30, 12)
@@ -148,3 +163,16 @@ def long_running(t):
 )
 def long_running_summary(t):
     return jobs.long_running_summary(jobs.long_running(_history(t), NOW))
+
+
+@registered(
+    "long_running_lines",
+    f"""WITH r AS (
+          SELECT date_trunc('hour', start_time) AS hour, minute(start_time)::INT AS minute, md5(query_id)[1] AS part, *
+          FROM ({RUNNING_SQL}))
+        SELECT hour, minute, part, (sum(count(*)) OVER (PARTITION BY hour))::BIGINT AS queries, count(*) AS line_queries,
+          'Long-running queries cancelled: ' || string_agg(query_id || ', ', '' ORDER BY start_time DESC, query_id DESC) AS summary
+        FROM r GROUP BY hour, minute, part""",
+)
+def long_running_lines(t):
+    return jobs.long_running_lines(jobs.long_running(_history(t), NOW))

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from eodledger.functions.times import ntz
 from eodledger.operators.joins import semi_on
 from eodledger.operators.naming import found_in
+from eodledger.session import stored
 from eodledger.sources.operational import TRANSACTION_COLUMNS
+from eodledger.sources.shards import touched_shards
 from eodledger.sources.tables import as_strings, full_refresh, preview
 
 # Which queries of a history count as running, and whose are left alone.
@@ -48,8 +50,8 @@ def adjusted_deals(
     as one frame with ``server`` and ``year`` tags.
 
     The deal list stays a frame: a semi join on the shard tags and the (deal, login)
-    pair replaces one literal predicate list per shard, and lets Spark drop shards
-    that no adjustment touches.
+    pair replaces one literal predicate list per shard. It is stored first, and only the
+    shards it names are read.
     """
     listed = adjustments.select(F.col("crm_transaction_no").alias("no"))
     adjusted = semi_on(crm.select("no", "ticket", "external_id", "created_at"), listed, ["no"])
@@ -70,7 +72,8 @@ def adjusted_deals(
             F.col("external_id").alias("login_text"),
         )
     )
-    tagged = deals.withColumn("login_text", F.col("login").cast("string"))
+    wanted = stored(wanted.distinct(), "wanted")
+    tagged = touched_shards(deals, wanted).withColumn("login_text", F.col("login").cast("string"))
     return semi_on(tagged, wanted, ["server", "year", "deal", "login_text"]).select(*DEAL_COLUMNS)
 
 
@@ -184,14 +187,37 @@ def long_running(history: DataFrame, now: datetime) -> DataFrame:
     ).select("query_id", "start_time", "user_name")
 
 
+def _id_text() -> Column:
+    """The ids of a group, newest first, each followed by a comma."""
+    ordered = F.sort_array(F.collect_list(F.struct("start_time", "query_id")), asc=False)
+    ids = F.array_join(F.transform(ordered, lambda e: F.concat(e["query_id"], F.lit(", "))), "")
+    return F.concat(F.lit(SUMMARY_HEAD), ids).alias("summary")
+
+
 def long_running_summary(running: DataFrame) -> DataFrame:
     """For each hour of start the ids as text, newest first, each followed by a comma.
 
-    The lines depend on the rows alone, not on how many there are.
+    The lines depend on the rows alone, not on how many there are. A line holds an hour: where
+    an hour can hold more ids than one task, take ``long_running_lines``.
     """
-    entry = F.struct(F.col("start_time"), F.col("query_id"))
-    ordered = F.sort_array(F.collect_list(entry), asc=False)
-    ids = F.array_join(F.transform(ordered, lambda e: F.concat(e["query_id"], F.lit(", "))), "")
     return running.groupBy(F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("hour")).agg(
-        F.count(F.lit(1)).alias("queries"), F.concat(F.lit(SUMMARY_HEAD), ids).alias("summary")
+        F.count(F.lit(1)).alias("queries"), _id_text()
+    )
+
+
+def long_running_lines(running: DataFrame) -> DataFrame:
+    """The same text in lines of one minute and one part, the first digit of the id's MD5.
+
+    Minute and part follow from the row, so lines do not depend on the number of rows, and an
+    hour with most of them is dealt over 960 groups. ``queries`` counts the hour, which the lines
+    are joined to by a count that is combined before it is exchanged.
+    """
+    dealt = running.select(
+        "*",
+        F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("hour"),
+        F.minute("start_time").alias("minute"),
+        F.substring(F.md5(F.col("query_id").cast("binary")), 1, 1).alias("part"),
     )
+    lines = dealt.groupBy("hour", "minute", "part").agg(F.count(F.lit(1)).alias("line_queries"), _id_text())
+    hours = lines.groupBy("hour").agg(F.sum("line_queries").alias("queries"))
+    return lines.join(hours, "hour").select("hour", "minute", "part", "queries", "line_queries", "summary")

@@ -97,6 +97,20 @@ def append_by_position(df: DataFrame, table: str, columns: Sequence[str]) -> Non
     df.select(*columns).write.insertInto(table, overwrite=False)
 
 
+def replace_days_by_position(df: DataFrame, table: str, columns: Sequence[str], days: Sequence[str]) -> None:
+    """Insert the named columns by position into a table partitioned by ``days``, its last columns.
+
+    The days that ``df`` holds are replaced and all others stay, so the same day can run again.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        _balanced(df.select(*[c for c in columns if c not in days], *days), days).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def append_path(df: DataFrame, path: str, columns: Sequence[str], days: Sequence[str]) -> None:
     """Write the day partitions of ``df``; running the same day again replaces it."""
     (

@@ -3,10 +3,12 @@
 from collections import Counter
 from datetime import datetime
 
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from eodledger.operators import naming
 from eodledger.plans import jobs
+from eodledger.sources import shards
 
 D = datetime
 NOW = D(2024, 1, 2, 12)
@@ -99,6 +101,45 @@ def test_adjusted_deals(rows):
     assert sorted((r["deal"], r["login"], r["server"]) for r in found.collect()) == [(11, 500, "s1"), (12, 600, "s2")]
 
 
+def test_only_touched_shards_are_read(spark, rows, tmp_path):
+    when = "timestamp_ntz"
+    deals = rows([(d, 500 + s, f"s{s}", y) for d in range(3) for s in range(4) for y in (2022, 2023, 2024)], "deal bigint, login bigint, server string, year int")
+    deals = deals.withColumns({"time": F.lit("2024-01-01").cast(when), "timeMsc": F.lit("2024-01-01").cast(when)})
+    tree = str(tmp_path / "tree")
+    shards.write_shard_tree(deals, tree)
+    source = shards.read_shard_tree(spark, tree)
+    crm = rows([("T1", 1, "501", D(2023, 5, 1)), ("T2", 2, "502", D(2024, 5, 1)), ("T3", 2, "503", D(2022, 5, 1))], f"no string, ticket bigint, external_id string, created_at {when}")
+    trades = rows([(1, 501, "s1"), (2, 502, "s2"), (2, 503, "s3")], "ticket bigint, login bigint, server string")
+    adjustments = rows([("T1",), ("T2",)], "crm_transaction_no string")
+    # every shard that no adjustment touches is broken: reading one would fail
+    touched = {("s1", 2023), ("s2", 2024)}
+    for s in range(4):
+        for y in (2022, 2023, 2024):
+            if (f"s{s}", y) not in touched:
+                for file in (tmp_path / "tree" / f"server=s{s}" / f"year={y}").glob("*.parquet"):
+                    file.write_bytes(b"broken")
+    found = jobs.adjusted_deals(adjustments, crm, trades, source)
+    assert sorted((r["deal"], r["login"], r["server"]) for r in found.collect()) == [(1, 501, "s1"), (2, 502, "s2")]
+    plan = plan_of(found)
+    assert "PartitionFilters" in plan and "s1" in plan.split("PartitionFilters")[1] and "s3" not in plan
+    assert jobs.adjusted_deals(adjustments.limit(0), crm, trades, source).collect() == []
+    tables = {("s1", 2023): rows([(1, 501)], "deal bigint, login bigint"), ("s3", 2022): rows([(2, 503)], "deal bigint, login bigint")}
+    union = shards.read_shards(lambda n: tables[n.split(".")[0], int(n[-4:])], tables)
+    assert [r["deal"] for r in shards.touched_shards(union, rows([("s1", 2023), (None, 1)], "server string, year int")).collect()] == [1]
+
+
+def test_lines_of_a_full_hour(spark):
+    running = spark.range(9000).select(
+        F.col("id").cast("string").alias("query_id"),
+        F.expr("timestampadd(SECOND, CAST(IF(id % 3 = 0, 7, id * 40) AS INT), TIMESTAMP_NTZ'2024-01-01')").alias("start_time"),
+    )
+    lines = jobs.long_running_lines(running).collect()
+    first = [r for r in lines if r["hour"] == D(2024, 1, 1)]
+    assert {r["queries"] for r in first} == {sum(r["line_queries"] for r in first)} and max(r["line_queries"] for r in lines) < 400
+    ids = [i for r in lines for i in r["summary"].removeprefix(jobs.SUMMARY_HEAD).split(", ") if i]
+    assert sorted(ids, key=int) == [str(i) for i in range(9000)]
+
+
 def test_keyed_extract_keeps_duplicate_rows(rows):
     source = rows([(1, "a"), (1, "a"), (2, "b")], "id int, v string")
     keys = rows([(1,), (1,)], "id int")
