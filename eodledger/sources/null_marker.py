@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eodledger.sources.quoted_csv import records
+
 NULL_MARKER = "\\N"
 
 
@@ -35,14 +37,15 @@ def read_csv(
     """All columns as strings.
 
     With ``names`` the header line is not consulted for the schema, which saves the
-    driver a read of the first file. Line breaks inside quotes are part of a field, for
-    which a file is read by one task. ``multi_line=False`` splits large files, where no
-    field has a line break; one that has fails the load.
+    driver a read of the first file. Line breaks inside quotes are part of a field; a
+    large file is still read by many tasks. ``multi_line=False`` reads files where no
+    field has a line break, without putting lines in order; one that has fails the load.
     """
-    reader = spark.read.options(
-        header=True, inferSchema=False, multiLine=multi_line, escape='"', quote='"', mode="FAILFAST"
-    )
+    reader = spark.read.options(header=True, inferSchema=False, multiLine=multi_line, escape='"', quote='"', mode="FAILFAST")
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     raw = reader.csv(path)
-    return raw.select([decode(F.col(c)).alias(c) for c in raw.columns])
+    if multi_line:
+        fields = F.from_csv("record", F.lit(raw.schema.toDDL()), {"escape": '"', "quote": '"', "mode": "FAILFAST"})
+        raw = records(spark, path).filter(~F.col("header")).select(fields.alias("fields")).select("fields.*")
+    return raw.select([decode(F.col(f"`{c}`")).alias(c) for c in raw.columns])

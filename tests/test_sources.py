@@ -1,6 +1,7 @@
 """Reading and writing."""
 
 import os
+import random
 from urllib.parse import unquote
 
 import pytest
@@ -75,6 +76,35 @@ def test_one_column_with_empty_strings_and_breaks(spark, tmp_path):
     assert sorted(map(repr, back)) == sorted(map(repr, given))
 
 
+@pytest.mark.parametrize("size", [48, 300, 1 << 20])
+def test_a_csv_file_is_split_anywhere(spark, tmp_path, size):
+    rng = random.Random(6)
+    fields = ["", "a", 'q"x', '5" pipe', "two\nlines", "\n\n", 'end"\n"', "c,d", "\r\n", " pad ", "ünï\n" * 30, "\\N", '"', "x\r"]
+    rows = [[rng.choice(fields) for _ in range(3)] for _ in range(400)]
+    def written(value):
+        if value in ("a", "c", " pad ", "\\N", '5" pipe') or value == "" and rng.random() < 0.5:
+            return value
+        return '"' + value.replace('"', '""') + '"'
+    head, body = '"first\nname",b,c', [",".join(map(written, r)) for r in rows]
+    (tmp_path / "a.csv").write_text("\n".join([head, *body[:250], ""]))
+    (tmp_path / "b.csv").write_text("\n\n" + "\n".join([head, "", *body[250:]]))
+    (tmp_path / "dos").mkdir()
+    (tmp_path / "dos" / "c.csv").write_bytes("\r\n".join([head, *body, ""]).encode())
+    whole = spark.read.options(header=True, multiLine=True, escape='"', quote='"', mode="FAILFAST").csv(str(tmp_path))
+    want = sorted(str(tuple(r)) for r in whole.select([null_marker.decode(F.col(f"`{c}`")) for c in whole.columns]).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        found = null_marker.read_csv(spark, str(tmp_path))
+        assert found.columns == ["first\nname", "b", "c"]
+        assert sorted(str(tuple(r)) for r in found.collect()) == want
+        dos = null_marker.read_csv(spark, str(tmp_path / "dos"))
+        assert sorted(str(tuple(r)) for r in dos.collect()) == sorted(str(tuple(None if v == "\\N" else v for v in r)) for r in rows)
+        if size == 300:
+            assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_append_by_day_can_run_again(spark, tmp_path):
     path = str(tmp_path / "r")
     df = spark.createDataFrame([(1, "2024", "07", "16"), (2, "2024", "07", "17")], "v int, year string, month string, day string")
