@@ -274,7 +274,7 @@ def covered_windows(df: DataFrame, key: str = "doc_id", text: str = "text") -> t
     keyed = texts.filter("key is not null")
     spark = df.sparkSession
     size = keyed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     anchors = keyed.select("rid", "text").mapInArrow(_anchor_probes(buckets), PROBE)
     shared = stored(anchors.groupBy("bucket").applyInArrow(_shared(buckets), FOUND), "anchors")
     near = keyed.join(_by_text(shared), "rid").select("rid", "text", "key", "hashes")
