@@ -263,7 +263,8 @@ def keep_good(df: DataFrame, text: str = "text", least: float = 0.5) -> DataFram
     a, b = identity(F.col("text"))
     texts = df.select(F.col(text).alias("text"))
     rows = _judged(measured(texts, "text", "m").select(a.alias("a"), b.alias("b"), "m"), "m", "votes", "p_good")
-    good = rows.filter(~base_failed("m") & (F.col("p_good") >= least)).select("a", "b").distinct()
+    # Stored, so that the join below can split the rows of a text that a third of them repeat.
+    good = stored(rows.filter(~base_failed("m") & (F.col("p_good") >= least)).select("a", "b").distinct(), "good")
     a, b = fresh(df, "__a"), fresh(df, "__b")
     named = df.withColumns(dict(zip((a, b), identity(F.col(text)))))
     return named.join(good.withColumnsRenamed({"a": a, "b": b}), [a, b], "left_semi").select(*df.columns)
