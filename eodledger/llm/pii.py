@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StringType
 
 from eodledger.llm.boosting import Boosted, sigmoid, temperature
 from eodledger.llm.common import per_text
-from eodledger.llm.spans import Span, apart, digest, written
+from eodledger.llm.spans import Span, Taken, digest, written
 
 KINDS = ("email", "ip", "card", "phone", "other")
 
@@ -34,6 +34,8 @@ CANDIDATES = (
 CUES = re.compile(r"(?i)(?:phone|tel|fax|mobile|call|e-?mail|contact|card|visa|iban|account|ssn|social|passport|address|\bip\b)")
 #: Characters before and after a candidate that count as its context.
 AROUND = 24
+#: Characters of the longest texts that the selector is fitted on.
+LONGEST = 20_000
 
 
 def luhn(digits: str) -> bool:
@@ -221,24 +223,28 @@ def find(text: str, selector: Selector) -> tuple[list[Span], list[Span]]:
     """Base spans and all spans of a whole text, by kind and start."""
     base = base_spans(text)
     base.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
-    places = [(a, b) for a, b in candidates(text) if apart(a, b, base)]
+    taken, added = Taken((s, e) for _, s, e in base), Taken()
+    places = [(a, b) for a, b in candidates(text) if taken.apart(a, b)]
     chances = selector.probability([features(text, a, b) for a, b in places])
     extra: list[Span] = []
     for p, (a, b) in sorted(zip(chances.tolist(), places), key=lambda c: (-c[0], c[1])):
-        if p >= selector.threshold and apart(a, b, extra):
+        if p >= selector.threshold and added.apart(a, b):
+            added.add(a, b)
             extra.append(("other", a, b))
     return base, base + sorted(extra, key=lambda s: s[1])
 
 
-def sample_texts(df: DataFrame, key: str, text: str, most: int) -> list[str]:
+def sample_texts(df: DataFrame, key: str, text: str, most: int, longest: int = LONGEST) -> list[str]:
     """The ``most`` texts with a digit or an at sign whose rows have the smallest hashes; equal rows count once.
 
+    Texts of more than ``longest`` characters are left out, so that what is sent to the driver is bounded.
+
     Only hashes below a bound are ordered. The bound follows from the number of different rows and
     lets about twice as many through as are wanted, so that what tasks hand on does not grow with
     their number.
     """
     rows = df.select(F.xxhash64(key, text).alias("h"), F.col(text).alias("t")).filter(
-        F.col("t").rlike("[0-9@]") & (F.length("t") <= 20_000)
+        F.col("t").rlike("[0-9@]") & (F.length("t") <= longest)
     )
     there = rows.agg(F.approx_count_distinct("h")).first()[0]
     share = min(1.0, 2 * most / max(there, 1))
@@ -254,16 +260,17 @@ def scan(
     sample: int = 2000,
     most: int = 20_000,
     precision: float = 0.98,
+    longest: int = LONGEST,
 ) -> DataFrame:
     """The key, counts of the base kinds, the digest of the base spans, and all spans.
 
-    The selector is fitted on the candidates of at most ``sample`` texts (of up to 20,000
+    The selector is fitted on the candidates of at most ``sample`` texts (of up to ``longest``
     characters) and ``most`` rows; every whole text is then searched. A null text counts as empty;
     a text without spans has zero counts, the digest of nothing and empty ``spans``. One row for
     each row of ``df``; repeated rows repeat; with an empty table nothing is fitted and no row
     returned; other columns are not read.
     """
-    selector = fit(sample_texts(df, key, text, sample), most, precision)
+    selector = fit(sample_texts(df, key, text, sample, longest), most, precision)
     counts = {f"n_{k}": LongType() for k in KINDS}
     fields = counts | {"base_sha256": StringType(), "spans": StringType()}
 

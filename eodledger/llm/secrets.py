@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType
 
 from eodledger.llm.common import fresh, per_text
-from eodledger.llm.spans import Span, digest, replaced, written
+from eodledger.llm.spans import Span, Taken, digest, replaced, written
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -110,10 +110,10 @@ def stretches(text: str, start: int, end: int, ratio, least: float) -> list[tupl
 def random_spans(text: str, encoding, least: float, taken: list[Span]) -> list[Span]:
     """Strings with few characters a token that overlap no other span."""
     ratio = lambda s: len(s) / len(encoding.encode_ordinary(s))
-    base = sorted((s, e) for _, s, e in taken)
+    base = Taken((s, e) for _, s, e in taken)
     out: list[Span] = []
     for m in CANDIDATE.finditer(text):
-        for a, b in left_over(*m.span(), sorted(base + named(text, *m.span()))):
+        for a, b in left_over(*m.span(), sorted(base.within(*m.span()) + named(text, *m.span()))):
             if b - a >= SHORTEST:
                 out += [("random", *x) for x in stretches(text, a, b, ratio, least)]
     return out
