@@ -4,8 +4,9 @@ Each source's documents are dealt into blocks. With weight w (a whole number) of
 sum of all weights, block k of a source is released at slot floor(k * W / w) and due by slot
 ceil((k + 1) * W / w). Each slot goes to the released block that is due first. On one sequence of
 slots this meets every deadline, so after any number of slots each source has had its share to
-within less than one block. The schedule repeats after W slots, so it is worked out for one period;
-everything else is arithmetic on the rank of a document within its source.
+within less than one block. The schedule repeats after W slots, so it is worked out for one period, and
+there only for the blocks of sources with weights of their own; everything else is arithmetic on
+ranks, of a source among the sources and of a document within its source.
 """
 
 from __future__ import annotations
@@ -16,86 +17,119 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eodledger.llm.common import fresh, let
+from eodledger.llm.merkle import numbered
 
 #: Documents of one source that follow each other.
 BLOCK = 16
-#: Longest period, that is the largest sum of weights; the schedule is one row until it is exploded.
-MOST_SLOTS = 4096
+#: Largest sum of the weights that are named. The number of sources without a name is free.
+MOST_NAMED = 4096
 #: Hexadecimal digits of the key's MD5 that deal the documents of a source to separately ranked parts.
 DIGITS = 3
 
 
 def weight(source: Column, weights: Mapping[str, int], default: int) -> Column:
     """The whole-number weight of a source, which is at least one; null is a source like any other."""
+    if min(default, *weights.values(), 1) < 1:
+        raise ValueError("weights must be at least 1")
+    if sum(weights.values()) > MOST_NAMED:
+        raise ValueError(f"named weights must not sum to more than {MOST_NAMED}")
     out = F.lit(default)
     for name, w in weights.items():
-        if w < 1:
-            raise ValueError(f"weight of {name} must be at least 1")
         out = F.when(source.eqNullSafe(F.lit(name)), F.lit(w)).otherwise(out)
     return out.cast("long")
 
 
-def schedule(totals: DataFrame, block: int = BLOCK) -> DataFrame:
+def _div(a: Column, b: Column) -> Column:
+    """Whole-number division, which is exact for numbers of any length of a long."""
+    return F.call_function("div", a, b)
+
+
+def _up(a: Column, b: Column) -> Column:
+    """Whole-number division of a number not below zero, rounded up."""
+    return _div(a + b - 1, b)
+
+
+def schedule(totals: DataFrame, block: int = BLOCK, pooled: int = 1) -> DataFrame:
     """A row for each source of ``totals (source, w, total)`` with its places in a period.
 
     ``plan`` has the slots of the source's ``w`` blocks of a period of ``period`` slots, by earliest
     deadline first; ties go to the source that sorts first, null before all. ``end`` is the first
-    slot that some source cannot fill. The weights must not sum to more than ``MOST_SLOTS``.
+    slot that some source cannot fill.
+
+    Sources of weight ``pooled`` may be of any number: their k-th blocks are all released and due
+    together, so they take turns in their order and one count says how far they are. Only the blocks
+    of the other sources are simulated, one step each, in one row whose size follows from the weights
+    that the caller names. Between two such blocks the pool has every slot; when that ends follows
+    from arithmetic. The slots that the others leave are the pool's, by rank. Sources are ranked by
+    ranges of their order and stay rows of a table.
     """
-    one = totals.agg(
-        F.sort_array(F.collect_list(F.struct(F.col("source").isNotNull().alias("named"), "source", "w", "total"))).alias("s")
-    ).filter(F.size("s") > 0)
-    one = one.withColumn("W", F.aggregate("s", F.lit(0).cast("long"), lambda t, x: t + x["w"]))
-    fits = F.when(F.col("W") <= MOST_SLOTS, True)
-    one = one.filter(fits.otherwise(F.raise_error(F.lit("weights sum to more than the longest period")).cast("boolean")))
-    W = F.col("W")
-
-    def pick(done: Column, slot: Column) -> Column:
-        """Index of the released block that is due first."""
-        window = F.transform(
-            "s",
-            lambda x, i: F.struct(
-                F.ceil((F.get(done, i) + 1) * W / x["w"]).alias("due"),
-                i.alias("i"),
-                F.floor(F.get(done, i) * W / x["w"]).alias("release"),
-            ),
-        )
-        return F.array_min(F.filter(window, lambda b: b["release"] <= slot))["i"]
+    order = F.struct(F.col("source").isNotNull(), "source")
+    ranked = numbered(totals.select(F.lit(0).alias("all"), order.alias("by"), "source", "w", "total"), "all", ["by"], "g")
+    own = F.col("w") != pooled
+    one = ranked.groupBy("all").agg(
+        F.sort_array(F.collect_list(F.when(own, F.struct("g", "w")))).alias("apart"),
+        F.sum("w").alias("period"),
+        F.count(F.when(~own, True)).alias("pool"),
+        F.coalesce(F.sum(F.when(own, F.col("w"))), F.lit(0)).alias("named"),
+    )
+    W, m, S, d = F.col("period"), F.col("pool"), F.col("named"), F.lit(pooled).cast("long")
+    turn = F.greatest(m, F.lit(1))
+
+    def blocked(state: Column) -> Column:
+        """The first slot at which the pool, if it runs from now on, has no released block."""
+        k = _up(state["p"], turn)
+        at = state["t"] + k * m - state["p"]
+        return F.when(m == 0, state["t"]).otherwise(at + m * F.greatest(F.lit(0), _div((at + 1) * d - k * W + S - 1, S)))
+
+    def waiting(state: Column, stop: Column) -> Column:
+        """For every source its next block: due, place in the order, release and first slot that the pool leaves to it."""
+
+        def entry(x: Column, i: Column) -> Column:
+            n = F.get(state["done"], i)
+            release, due = _div(n * W, x["w"]), _up((n + 1) * W, x["w"])
+            k = _div((due - 1) * d, W)
+            lost = k * m + F.when(_up((k + 1) * W, d) == due, x["g"] - i).otherwise(0)
+            at = F.greatest(release, F.least(state["t"] + F.greatest(F.lit(0), lost - state["p"]), stop))
+            return F.struct(due.alias("due"), i.alias("i"), release.alias("release"), at.alias("at"))
+
+        return F.transform("apart", entry)
+
+    def step(state: Column, _: Column) -> Column:
+        def picked(found: Column) -> Column:
+            slot = F.array_min(F.transform(found, lambda b: b["at"]))
+            return let(slot, lambda t: F.struct(t.alias("slot"), F.array_min(F.filter(found, lambda b: b["release"] <= t))["i"].alias("i")))
 
-    def step(state: Column, slot: Column) -> Column:
         return let(
-            pick(state["done"], slot),
+            let(let(blocked(state), lambda stop: waiting(state, stop)), picked),
             lambda c: F.struct(
-                F.transform(state["done"], lambda n, i: n + F.when(i == c, 1).otherwise(0)).alias("done"),
-                F.concat(state["out"], F.array(F.struct(c.alias("i"), slot.alias("slot")))).alias("out"),
+                F.transform(state["done"], lambda n, i: n + F.when(i == c["i"], 1).otherwise(0)).alias("done"),
+                (c["slot"] + 1).alias("t"),
+                (state["p"] + c["slot"] - state["t"]).alias("p"),
+                F.concat(state["out"], F.array(c)).alias("out"),
             ),
         )
 
+    zero = F.lit(0).cast("long")
     first = F.struct(
-        F.transform("s", lambda _: F.lit(0).cast("long")).alias("done"),
-        F.array().cast("array<struct<i:int,slot:bigint>>").alias("out"),
+        F.transform("apart", lambda _: zero).alias("done"),
+        zero.alias("t"),
+        zero.alias("p"),
+        F.array().cast("array<struct<slot:bigint,i:int>>").alias("out"),
     )
-    ran = F.aggregate(F.sequence(F.lit(0).cast("long"), W - 1), first, step)
-    plans = let(
-        ran["out"],
-        lambda out: F.transform(
-            "s",
-            lambda x, i: F.struct(
-                x["source"].alias("source"),
-                x["w"].alias("w"),
-                F.floor(x["total"] / block).alias("full"),
-                F.transform(F.filter(out, lambda o: o["i"] == i), lambda o: o["slot"]).alias("plan"),
-            ),
-        ),
-    )
-    end = lambda p: F.array_min(
-        F.transform(p, lambda x: F.floor(x["full"] / x["w"]) * W + F.get(x["plan"], (x["full"] % x["w"]).cast("int")))
-    )
-    return (
-        one.select("W", let(plans, lambda p: F.struct(p.alias("p"), end(p).alias("end"))).alias("made"))
-        .select("W", "made.end", F.explode("made.p").alias("x"))
-        .select("x.source", "x.w", "x.plan", F.col("W").alias("period"), "end")
+    ran = F.aggregate(F.array_repeat(zero, S.cast("int")), first, step)["out"]
+    # Bounded by the named weights, whatever the number of sources.
+    one = one.withColumn("out", ran).select(
+        "all", "period", "pool", "out", F.transform("apart", lambda x: x["g"]).alias("gs"), F.transform("out", lambda o, i: o["slot"] - i).alias("left")
     )
+    before = F.size(F.filter("gs", lambda g: g < F.col("g")))
+    turns = F.transform(F.sequence(zero, d - 1), lambda k: k * m + F.col("g") - before)
+    plan = F.when(
+        own, let(before, lambda i: F.transform(F.filter("out", lambda o: o["i"] == i), lambda o: o["slot"]))
+    ).otherwise(F.transform(turns, lambda j: j + F.size(F.filter("left", lambda x: x <= j))))
+    made = ranked.join(F.broadcast(one), "all").select("all", "source", "w", plan.alias("plan"), "period", "total")
+    full = _div(F.col("total"), F.lit(block))
+    ends = made.groupBy("all").agg(F.min(_div(full, F.col("w")) * W + F.get("plan", (full % F.col("w")).cast("int"))).alias("end"))
+    return made.join(F.broadcast(ends), "all").select("source", "w", "plan", "period", "end")
 
 
 def positions(
@@ -131,18 +165,16 @@ def positions(
         .agg(F.count("*").alias("n"))
     )
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        name(F.col("source")).alias(src), F.col("part").alias(part), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset)
-    )
+    starts = sizes.select("source", F.col("part").alias(part), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset))
     totals = sizes.groupBy("source").agg(F.sum("n").alias("total"))
-    made = schedule(totals.withColumn("w", weight(F.col("source"), weights, default)), block)
-    # One row a source and one number a slot of the period, which is bounded: a broadcast of known size.
-    plans = F.broadcast(made.select(name(F.col("source")).alias(src), F.struct("w", "plan", "period", "end").alias(plan)))
+    made = schedule(totals.withColumn("w", weight(F.col("source"), weights, default)), block, default)
+    made = made.select(name(F.col("source")).alias(src), F.struct("w", "plan", "period", "end").alias(plan))
+    # The plan joins the counts of parts first, so rows meet both where the ranking has dealt them.
+    offsets = starts.select(name(F.col("source")).alias(src), part, offset).join(made, src)
     rank = F.row_number().over(Window.partitionBy(src, part).orderBy(md5))
     places = (
         rows.withColumn(in_part, rank)
         .join(offsets, [src, part])
-        .join(plans, src)
         .withColumn(ranked, F.expr(f"{offset} + {in_part} - 1"))
         .withColumn(block_, F.expr(f"{ranked} div {block}"))
         .withColumn(slot, F.expr(f"({block_} div {plan}.w) * {plan}.period + get({plan}.plan, cast({block_} % {plan}.w as int))"))
