@@ -32,6 +32,10 @@ CANDIDATES = (
     re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
 )
 CUES = re.compile(r"(?i)(?:phone|tel|fax|mobile|call|e-?mail|contact|card|visa|iban|account|ssn|social|passport|address|\bip\b)")
+#: Forms that are made up for the fit because no fixed format knows them, and a word that may stand before them.
+FORMS = {"iban": "IBAN ", "ssn": "SSN ", "national": "call ", "mail": "contact "}
+#: Country and digits after the check digits of some account codes; fixed values.
+IBAN_LENGTHS = (("DE", 18), ("AT", 16), ("NL", 14), ("FR", 23), ("ES", 20), ("GB", 18), ("CH", 17), ("IT", 23))
 #: Characters before and after a candidate that count as its context.
 AROUND = 24
 #: Characters of the longest texts that the selector is fitted on.
@@ -120,6 +124,11 @@ def features(text: str, start: int, end: int) -> list[float]:
         bool(digits) and luhn(digits),
         bool(re.match("(19|20)[0-9]{2}", digits)),
         len(set(digits)),
+        "(at)" in s or "[at]" in s,
+        "dot" in s,
+        s[-2:].islower(),
+        len(re.findall("[._%+-]|[0-9]", s.partition(" ")[0])),
+        bool(re.match("[A-Z]{2}[0-9]{2}", s)) and mod97(re.sub("[^0-9A-Z]", "", s)) == 1,
         bool(CUES.search(before)),
         len(DIGIT.findall(before)),
         len(DIGIT.findall(after)),
@@ -141,49 +150,99 @@ def altered(s: str, kind: str, rng: random.Random) -> str:
     return s
 
 
-def plain_number(rng: random.Random) -> str:
-    """Numbers that identify nobody: dates, times, amounts, versions, ranges, measures."""
+def personal(kind: str, words: list[str], rng: random.Random) -> str:
+    """A made-up datum of a form that the fixed patterns do not know; names come from the text's words."""
     n = rng.randrange
+    if kind == "iban":
+        country, account = rng.choice(IBAN_LENGTHS)
+        body = "".join(rng.choice("0123456789") for _ in range(account))
+        if rng.random() < 0.3:
+            body = "".join(rng.choice("ABCDEFGHKLMNPRSTUVWX") for _ in range(4)) + body[4:]
+        whole = f"{country}{98 - mod97(f'{country}00{body}'):02}{body}"
+        return " ".join(re.findall(".{1,4}", whole)) if rng.random() < 0.5 else whole
+    if kind == "ssn":
+        return f"{rng.choice((n(1, 666), n(667, 900))):03}-{n(1, 100):02}-{n(1, 10000):04}"
+    if kind == "national":
+        area, office, line = n(200, 1000), n(200, 1000), n(10000)
+        return rng.choice((f"({area}) {office}-{line:04}", f"{area}-{office}-{line:04}", f"{area}.{office}.{line:04}", f"0{n(20, 1000)} {n(10**6, 10**8)}"))
+    name = rng.choice(("{0}.{1}", "{0}{2}", "{0}_{1}", "{0}-{1}", "{0}")).format(rng.choice(words), rng.choice(words), n(10, 2000))
+    sign, dot = rng.choice(((" (at) ", "."), ("(at)", "."), ("[at]", "."), (" [at] ", " dot "), (" at ", " dot "), ("(at)", "(dot)"), (" at ", ".")))
+    return f"{name}{sign}{rng.choice(words)}{dot}{rng.choice(('com', 'org', 'net', 'de', 'io', 'edu'))}"
+
+
+def mod97(code: str) -> int:
+    """An account code's remainder: its first four characters behind the others, letters as 10 to 35."""
+    return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97
+
+
+def plain(words: list[str], rng: random.Random) -> str:
+    """What looks alike and identifies nobody: dates, times, amounts, versions, ranges, codes, prose with "at"."""
+    n = rng.randrange
+    long = str(n(10**12, 10**19))
+    if luhn(long):  # one more in the last digit, and the check digit is wrong
+        long = f"{long[:-1]}{(int(long[-1]) + 1) % 10}"
     return rng.choice(
         (
+            long,
+            " ".join(re.findall(".{1,4}", long)),
             f"{n(1900, 2031)}-{n(1, 13):02}-{n(1, 29):02}",
+            f"{n(1900, 2031)}-{n(1, 13):02}-{n(1, 29):02} {n(24):02}:{n(60):02}:{n(60):02}",
             f"{n(1, 29):02}.{n(1, 13):02}.{n(1900, 2031)}",
             f"{n(1, 13)}/{n(1, 29)}/{n(1900, 2031)} {n(24):02}:{n(60):02}",
             f"{n(1900, 2031)}-{n(1900, 2031)}",
             f"{n(1, 100)}.{n(1000):03}.{n(1000):03}",
             f"{n(1, 30)}.{n(30)}.{n(1000)}-{n(1000)}",
             f"{n(10**6, 10**9)}",
+            f"{n(10**9, 10**13)}",
             f"{n(100)}.{n(10**6, 10**8)}",
             f"{n(1, 1000)} {n(1000):03} {n(1000):03}",
+            f"{n(10, 100)}/{n(1000, 10000)}/{n(100)}",
+            "".join(rng.choice("ABCDEFGHJKMNPQRSTUVWXYZ") for _ in range(2)) + f"{n(10**9, 10**14)}",
+            f"{rng.choice(words)} at {rng.choice(words)}.{rng.choice(words).capitalize()}",
+            f"{rng.choice(words)} at {rng.choice(words)}.{rng.choice(words)}",
         )
     )
 
 
 def training_rows(texts: list[str], most: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the candidates in some texts.
+    """Features and labels of candidates, from some texts and from what is put into them.
 
-    A candidate that a fixed format covers is personal; so is the same datum written in another
-    way in its place. Other candidates, and plain numbers put into the same texts, are not.
+    Personal are candidates that a fixed format covers, the same datum written in another way in its
+    place, and made-up data of every form in ``FORMS`` put between words. Not personal are made-up
+    look-alikes put into the same places. Any other candidate of a text is unlabelled, since it may
+    be what the fixed formats miss, and is no example of either kind.
     """
     rng, x, y = random.Random(seed), [], []
+
+    def put(text: str, start: int, end: int, cue: str, new: str, label: int) -> None:
+        """Examples from the text around a place, after the new datum has taken it."""
+        before, after = text[max(0, start - 99) : start] + cue, text[end : end + 99]
+        whole, at = before + new + after, len(before)
+        for a, b in candidates(whole):
+            if min(b, at + len(new)) - max(a, at) >= 0.7 * max(b - a, len(new) if label else 1):
+                x.append(features(whole, a, b))
+                y.append(label)
+
     for text in texts:
         if len(x) >= most:
             break
         base = base_spans(text)
         for start, end in candidates(text):
             hit = max((min(end, e) - max(start, s) for _, s, e in base), default=0)
-            x.append(features(text, start, end))
-            y.append(hit * 10 >= (end - start) * 7)
+            if hit * 10 >= (end - start) * 7:
+                x.append(features(text, start, end))
+                y.append(1)
+        words = [w.lower() for w in re.findall("[A-Za-z]{2,12}", text[:4000])] or ["name", "host"]
         for kind, start, end in base:
-            for new, label in ((altered(text[start:end], kind, rng), 1), (plain_number(rng), 0)):
-                cue = rng.choice(("", "", "tel ", "mail ", "card ")) if label else ""
-                put = text[:start] + cue + new + text[end:]
-                at = start + len(cue)
-                for a, b in candidates(put[max(0, at - 99) : at + len(new) + 99]):
-                    a, b = a + max(0, at - 99), b + max(0, at - 99)
-                    if a < at + len(new) and b > at:
-                        x.append(features(put, a, b))
-                        y.append(label)
+            put(text, start, end, rng.choice(("", "", "tel ", "mail ", "card ")), altered(text[start:end], kind, rng), 1)
+            put(text, start, end, "", plain(words, rng), 0)
+        gaps = [m.end() for m in re.finditer(" ", text)] or [len(text)]
+        for form in FORMS:
+            at = rng.choice(gaps)
+            put(text, at, at, rng.choice(("", FORMS[form])), f"{personal(form, words, rng)} ", 1)
+            at = rng.choice(gaps)
+            put(text, at, at, "", f"{plain(words, rng)} ", 0)
+            put(text, at, at, "", f"{plain(words, rng)} ", 0)
     return np.array(x, float).reshape(len(x), len(x[0]) if x else 0), np.array(y, float)
 
 

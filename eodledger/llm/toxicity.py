@@ -228,7 +228,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 5, rate: float = 0.01, se
     text; for a text of the other class it is the hardest example. The first windows are chosen by
     the words' log odds. The last quarter of the texts is kept apart to fit the chances of texts.
     """
-    kept = distinct(texts)
+    kept = distinct(texts, y)
     texts, y = [texts[i] for i in kept], y[kept]
     if len(y) < 8 or min(y.sum(), (1 - y).sum()) < 2:
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
@@ -289,11 +289,11 @@ def _chances(odds: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope[loss.argmin(), 0]), float(shift[loss.argmin(), 0])
 
 
-def distinct(texts: list[str]) -> list[int]:
-    """One of each group of near copies, which share their words of smallest hashes: a copied label is one label."""
+def distinct(texts: list[str], y: np.ndarray) -> list[int]:
+    """The first of each group of equal texts with equal labels: a copied label is one label."""
     seen: dict[tuple, int] = {}
     for i, text in enumerate(texts):
-        seen.setdefault(tuple(sorted(zlib.crc32(w.encode()) for w in set(tokens(text)))[:2]), i)
+        seen.setdefault((text, float(y[i])), i)
     return sorted(seen.values())
 
 
