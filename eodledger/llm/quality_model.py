@@ -27,6 +27,8 @@ from eodledger.llm.labelled import held_out, sample
 BUCKETS, SIZE, MARKS, REACH = 8192, 64, 4, 2
 #: Buckets in a row of the summed vectors.
 CHUNK = 256
+#: Tasks whose tables are added together first.
+TASKS = 1024
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]+|_+")
 REMEMBERED = 1_000_000
 _KNOWN: dict[str, int] = {}
@@ -78,15 +80,28 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _summed(key, frames: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in frames["sums"])
-    return pd.DataFrame({"chunk": [key[0]], "sums": [total.astype(np.float64).tobytes()]})
+def _summed(kind: type):
+    """Adds the tables of a group, which are of this kind of number, into one of doubles."""
+
+    def work(key: tuple, frames: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(CHUNK * (SIZE + 1))
+        for b in frames["sums"]:
+            total += np.frombuffer(b, kind)
+        return pd.DataFrame({"chunk": [key[0]], "sums": [total.tobytes()]})
+
+    return work
 
 
 def word_vectors(df: DataFrame, text: str = "text") -> np.ndarray:
-    """Unit vectors of all buckets, from every text of ``df``. Their size is fixed: buckets times size."""
+    """Unit vectors of all buckets, from every text of ``df``. Their size is fixed: buckets times size.
+
+    The tables of tasks are added in two levels, first those of ``TASKS`` tasks that follow each
+    other, so a group holds 68 MB of them and the second level a row for each ``TASKS`` tasks.
+    """
     tasks = df.select(F.col(text)).mapInArrow(_contexts, "chunk int, sums binary")
-    rows = tasks.groupBy("chunk").applyInPandas(_summed, "chunk int, sums binary").collect()
+    tasks = tasks.withColumn("part", F.floor(F.spark_partition_id() / TASKS))
+    parts = tasks.groupBy("chunk", "part").applyInPandas(_summed(np.float32), "chunk int, sums binary")
+    rows = parts.groupBy("chunk").applyInPandas(_summed(np.float64), "chunk int, sums binary").collect()
     table = np.zeros((BUCKETS, SIZE + 1))
     for r in rows:
         table[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["sums"], np.float64).reshape(-1, SIZE + 1)
