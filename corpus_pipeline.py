@@ -27,16 +27,21 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents are put into the order of the mix; every document stays.
 
-    Files are not read again in their order, so ``encode`` works the places out once more and keeps them.
+    Its decision is the order of the rows, which the files keep: ``encode`` takes the places from there.
     """
     return mixing.mixed(docs, WEIGHTS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: ids of each text, the digests of the ids and of what they decode to, and the place in the mix."""
-    placed = mixing.positions(docs.select("doc_id", "source", "text"), WEIGHTS)
-    placed = placed.select("doc_id", "source", "text", f"{placed.columns[-1]}.*")
-    return bpe.digests(placed, WORD_BPE, keep=("doc_id", "source", "slot", "position", "in_mix"), with_ids=True)
+    """Operator 4: ids of each text, the digests of the ids and of what they decode to, and the place in the mix.
+
+    ``place`` numbers the rows as they come from the mix stage. Slots and positions, which have gaps where
+    a source has run out, are those of each source's documents in that same order.
+    """
+    rows = mixing.arrived(docs.select("doc_id", "source", "text"), "come")
+    done = stored(bpe.digests(rows, WORD_BPE, keep=("doc_id", "source", "come"), with_ids=True), "encoded")
+    placed = mixing.positions(mixing.numbered_rows(done, "come", "place"), WEIGHTS, order="place")
+    return placed.select("doc_id", "source", f"{placed.columns[-1]}.*", "place", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 
 STAGES = [
@@ -54,9 +59,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each stage's rows written to the shared folder and read again.
 
-    The rows come in the order of their ``position`` in the mix.
+    The rows come in the order in which the mix stage has put them.
     """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
-    return docs.orderBy("position")
+    return docs.orderBy("place")

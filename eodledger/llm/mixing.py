@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ BLOCK = 16
 MOST_NAMED = 4096
 #: Hexadecimal digits of the key's MD5 that deal the documents of a source to separately ranked parts.
 DIGITS = 3
+#: Rows of a given order, as a power of two, that are ranked apart from those before them.
+BITS = 8
 
 
 def weight(source: Column, weights: Mapping[str, int], default: int) -> Column:
@@ -139,10 +142,12 @@ def positions(
     key: str = "doc_id",
     source: str = "source",
     block: int = BLOCK,
+    order: str | None = None,
 ) -> DataFrame:
     """``df`` with a struct column ``__mix``, the last, (``slot``, ``position``, ``in_mix``) for every row.
 
-    Documents of a source are in the order of the MD5 of their key. ``slot`` counts blocks and
+    Documents of a source are in the order of the MD5 of their key or, if given, of the column ``order``
+    of whole numbers, which differ and have few gaps, as ``numbered_rows`` makes. ``slot`` counts blocks and
     ``position`` documents of an endless schedule; where a source has run out its places stay
     empty, so positions have gaps but no source moves. ``in_mix`` is true before the first slot
     that a source has to leave empty: up to there the mix has its target weights to within less
@@ -151,16 +156,18 @@ def positions(
     A null source is a source of the default weight; a null key counts as the empty text. Rows with
     equal keys get neighbouring ranks, in no fixed order. An empty table gives no rows.
 
-    Ranks come from two levels, parts of a source by the first digits of the MD5 and rows within a
-    part, so the documents of a frequent source are spread over thousands of groups.
+    Ranks come from two levels, parts of a source by the first digits of the MD5 (or all but the last
+    bits of ``order``) and rows within a part, so the documents of a frequent source are spread over
+    thousands of groups.
     """
     name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     names = ("__md5", "__src", "__part", "__mix", "__offset", "__plan", "__in_part", "__rank", "__block", "__slot")
     md5, src, part, mix, offset, plan, in_part, ranked, block_, slot = (fresh(df, c) for c in names)
-    rows = df.withColumns({md5: digest, src: name(F.col(source)), part: F.substring(digest, 1, DIGITS)})
+    by, dealt = (digest, F.substring(digest, 1, DIGITS)) if order is None else (F.col(order), F.shiftright(F.col(order), BITS))
+    rows = df.withColumns({md5: by, src: name(F.col(source)), part: dealt})
     sizes = (
-        df.select(F.col(source).cast("string").alias("source"), F.substring(digest, 1, DIGITS).alias("part"))
+        df.select(F.col(source).cast("string").alias("source"), dealt.alias("part"))
         .groupBy("source", "part")
         .agg(F.count("*").alias("n"))
     )
@@ -190,8 +197,42 @@ def positions(
 def mixed(df: DataFrame, weights: Mapping[str, int], default: int = 1, key: str = "doc_id", source: str = "source", block: int = BLOCK) -> DataFrame:
     """The rows of ``df`` in the order of their positions, with the columns of ``df``.
 
-    The order is that of the files and rows written from the frame. Repeated rows repeat; an empty
-    table gives no rows; other columns, whatever their names, stay as they are.
+    The order is that of the files and rows written from the frame, where ``arrived`` finds it again.
+    Repeated rows repeat; an empty table gives no rows; other columns, whatever their names, stay as
+    they are.
     """
     found = positions(df, weights, default, key, source, block)
     return found.orderBy(F.col(found.columns[-1])["position"]).select(*df.columns)
+
+
+def arrived(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the struct column ``name``, which sorts its rows in the order in which they come: ``run``, then ``at``.
+
+    Spark numbers the files that it writes in the order of the frame's rows. A scan takes them by
+    length instead, and may cut them; so rows of files go by the file's number and name and by where
+    the cut starts. Rows of no file go by their task. ``at`` counts the rows of a task. All this holds
+    for one run of the query: store the rows before they are used more than once.
+    """
+    at, file = F.monotonically_increasing_id(), F.input_file_name()
+    number = F.coalesce(F.regexp_extract(file, r"part-(\d+)[^/]*$", 1).try_cast("long"), F.lit(-1))
+    task = F.shiftright(at, 33).alias("task")
+    come = lambda *parts: F.struct(F.struct(*parts, task).alias("run"), at.alias("at"))
+    try:
+        return df.withColumn(name, come(number.alias("number"), file.alias("file"), F.input_file_block_start().alias("start")))
+    except AnalysisException as error:
+        if error.getCondition() != "MULTI_SOURCES_UNSUPPORTED_FOR_EXPRESSION":
+            raise
+        return df.withColumn(name, come())  # joined rows are not those of one file
+
+
+def numbered_rows(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df``, stored rows with a column ``order`` of ``arrived``, with ``name`` in its place, the number from 0 of each row in that order.
+
+    The table of runs has a row for each task or cut of a file, so it is summed up and broadcast.
+    """
+    run, shift, n, first = (fresh(df, c) for c in ("__run", "__shift", "__n", "__first"))
+    runs = df.groupBy(F.col(order)["run"].alias(run)).agg(F.count("*").alias(n), F.min(F.col(order)["at"]).alias(first))
+    before = Window.partitionBy(F.lit(0)).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(run, (F.coalesce(F.sum(n).over(before), F.lit(0)) - F.col(first)).alias(shift))
+    found = df.withColumn(run, F.col(order)["run"]).join(F.broadcast(starts), run)
+    return found.withColumn(name, F.col(order)["at"] + F.col(shift)).drop(order, run, shift)
