@@ -195,6 +195,36 @@ def test_rate_pivot_multiplies_like_joins(spark, rows):
     assert plan_of(found).count("Exchange hashpartitioning") == 1 and "Join" not in plan_of(found)
 
 
+@pytest.mark.parametrize("piece_rows", [1, 20, 1 << 17])
+def test_rate_pivot_pieces_multiply_like_joins(spark, rows, piece_rows):
+    data = [(i, g, float(k % 3) if k else None) for i in range(6) for g in (6, 7, 8, 9) for k in range((i * g) % 8)]
+    data += [(None, g, float(k)) for g in (6, 7) for k in range(5)] + [(9, 6, float(k)) for k in range(5)]
+    rows(data, "id int, g int, r double").createOrReplaceTempView("cut_rates")
+    expected = spark.sql(
+        "SELECT a.id, a.r AS fx, b.r AS bul, c.r AS oil FROM cut_rates a LEFT JOIN cut_rates b ON b.id = a.id AND b.g = 7 "
+        "LEFT JOIN cut_rates c ON c.id = a.id AND c.g = 8 WHERE a.g = 6"
+    )
+    found = joins.rate_pivot(spark.table("cut_rates"), "id", "g", "r", {"fx": 6, "bul": 7, "oil": 8}, piece_rows=piece_rows)
+    same(found, expected)
+
+
+def test_rate_pivot_never_holds_the_product_of_an_id(rows):
+    data = [("hot", g, float(k)) for g in (6, 7, 8) for k in range(60)]
+    found = joins.rate_pivot(rows(data, "id string, g int, r double"), "id", "g", "r", {"fx": 6, "bul": 7, "oil": 8})
+    assert found.count() == 60**3
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
+    first = found.limit(1)
+    first.collect()
+    made, nodes = [], [first._jdf.queryExecution().executedPlan().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        node = node.plan() if node.nodeName() == "ResultQueryStage" else node
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Generate":
+            made.append(node.metrics().apply("numOutputRows").value())
+    assert made and max(made) <= 1 << 17  # what is made before the first row leaves is in memory at once
+
+
 def test_or_residual_and_cast_keys(rows):
     left = rows([("10", "s1"), ("W1", None), ("10", "s2")], "login string, server string")
     right = rows([("10", "s1", 1), ("W1", "w", 2)], "external string, ta_server string, n int")
